@@ -20,17 +20,22 @@ def time_slices(spark: SparkSession, rng: TimeRange | None, num_slices: int) ->
     """
     if rng is None:
         return spark.createDataFrame([], SLICE_SCHEMA)
+    slices = spark.range(num_slices, numPartitions=1).withColumnRenamed("id", "part_id")
+    lo_us, hi_us = slice_edges(F.col("part_id"), rng, num_slices)
+    return slices.select("part_id", lo_us.alias("lo_us"), hi_us.alias("hi_us"))
+
+
+def slice_edges(part_id: Column, rng: TimeRange, num_slices: int) -> tuple[Column, Column]:
+    """Start and exclusive end of a slice in microseconds, from its number."""
     origin, width = _grid(rng, num_slices)
-    part = F.col("id")
 
-    def inner_edge(position: Column) -> Column:
-        edge = F.lit(origin).cast("bigint") + position * F.lit(width).cast("bigint")
+    def inner(position: Column) -> Column:
+        edge = _big(origin) + position * _big(width)
         return F.greatest(_big(rng.lo_us), F.least(edge, _big(rng.hi_us)))
 
-    return spark.range(num_slices, numPartitions=1).select(
-        part.alias("part_id"),
-        F.when(part == 0, _big(rng.lo_us)).otherwise(inner_edge(part)).alias("lo_us"),
-        F.when(part == num_slices - 1, _big(rng.hi_us)).otherwise(inner_edge(part + 1)).alias("hi_us"),
+    return (
+        F.when(part_id == 0, _big(rng.lo_us)).otherwise(inner(part_id)),
+        F.when(part_id == num_slices - 1, _big(rng.hi_us)).otherwise(inner(part_id + 1)),
     )
 
 
