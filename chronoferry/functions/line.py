@@ -68,8 +68,9 @@ def to_lines(points: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, layout: PointLayout) -> DataFrame:
     """Points back from lines, for checking what was written. Absent members are NULL."""
-    # A stretch of characters in which the separators only occur escaped.
-    word, item, name = (rf"(?:[^{stop}\\]|\\.)+" for stop in (" ", ",", "=,"))
+    # A stretch of characters in which the separators only occur escaped. Any character
+    # may follow a backslash, so that one must not be limited to a line.
+    word, item, name = (rf"(?:[^{stop}\\]|\\(?s:.))+" for stop in (" ", ",", "=,"))
     cut = lines.select(
         F.regexp_extract("line", f"^({word}) ", 1).alias("head"),
         F.regexp_extract("line", f"^{word} ({word}) ", 1).alias("body"),
@@ -84,7 +85,7 @@ def parse_lines(lines: DataFrame, layout: PointLayout) -> DataFrame:
                 items,
                 lambda x: F.struct(
                     _unescape(F.regexp_extract(x, f"^({name})=", 1)).alias("k"),
-                    F.regexp_extract(x, f"^{name}=(.*)$", 1).alias("v"),
+                    F.regexp_extract(x, f"^{name}=((?s:.*))$", 1).alias("v"),
                 ),
             )
         )

@@ -14,33 +14,66 @@ from pyspark.sql import functions as F
 from chronoferry.config import DEFAULT_BATCH_SIZE, fresh_folder
 from chronoferry.functions.columns import named, time_value
 from chronoferry.functions.timestamps import epoch_ms
-from chronoferry.operators.ranges import TimeRange
+from chronoferry.operators.progress import slice_totals
+from chronoferry.operators.ranges import TimeRange, in_range
 from chronoferry.operators.slices import whole_div, with_slice
 
-# Largest offset + limit that is answered by a heap of that many rows per task.
+# A page is looked for in this many time slices first.
+FETCH_SLICES = 1000
+
+# Up to this many rows in the slices of a page are sorted by a plain ORDER BY ... LIMIT.
 DIRECT_FETCH_ROWS = 100_000
 
+# Rows that one task sorts at most, as far as the sampled boundaries are even.
+ROWS_PER_TASK = 2_000_000
+
 # monotonically_increasing_id keeps the partition number above this many bits.
 _POSITION_BITS = 33
 
 
-def fetch_page(df: DataFrame, ts_col: str, keys: list[str], limit: int, offset: int) -> DataFrame:
-    """Rows `offset` to `offset + limit - 1` of the table in `(time, keys)` order.
+def fetch_page(
+    df: DataFrame,
+    rng: TimeRange | None,
+    ts_col: str,
+    keys: list[str],
+    limit: int,
+    offset: int,
+    direct_rows: int = DIRECT_FETCH_ROWS,
+) -> DataFrame:
+    """Rows `offset` to `offset + limit - 1` of the range in `(time, keys)` order.
 
-    A page near the start is a top-k: every task keeps `offset + limit` rows. A
-    deep page would make each task and the driver hold everything before it, so
-    it is cut out of the numbered rows instead.
+    `ORDER BY ... LIMIT` over the whole range would send `offset + limit` rows of
+    every task to a single one. So rows are counted per time slice first, from the
+    time column alone; only the slices that the page touches are then read and
+    sorted, by a plain top-k if they hold few rows and by numbering otherwise.
     """
-    if offset + limit <= DIRECT_FETCH_ROWS:
-        return df.orderBy(time_value(df, ts_col), *(named(k) for k in keys)).offset(offset).limit(limit)
-    return fetch_numbered(df, ts_col, keys, limit, offset)
+    found = None if rng is None else _slices_of_page(df, rng, ts_col, limit, offset)
+    if found is None:
+        return in_range(df, None, ts_col)
+    part, before, held = found
+    rows = in_range(df, part, ts_col)
+    if held <= direct_rows:
+        return rows.orderBy(time_value(df, ts_col), *(named(k) for k in keys)).offset(offset - before).limit(limit)
+    numbered = _number(rows.withColumn("part_id", F.lit(0).cast("bigint")), ts_col, keys)
+    wanted = numbered.where((F.col("rn") >= offset - before) & (F.col("rn") < offset - before + limit))
+    return wanted.select(*(named(c) for c in df.columns))
 
 
-def fetch_numbered(df: DataFrame, ts_col: str, keys: list[str], limit: int, offset: int) -> DataFrame:
-    """The same page, cut out of the numbered rows."""
-    numbered = _number(df.withColumn("part_id", F.lit(0).cast("bigint")), ts_col, keys)
-    wanted = numbered.where((F.col("rn") >= offset) & (F.col("rn") < offset + limit))
-    return wanted.select(*(named(c) for c in df.columns))
+def _slices_of_page(
+    df: DataFrame, rng: TimeRange, ts_col: str, limit: int, offset: int
+) -> tuple[TimeRange, int, int] | None:
+    """The stretch of time that holds a page, the rows before it, and the rows in it."""
+    totals = slice_totals(df, rng, ts_col, FETCH_SLICES)
+    # One row per slice, so this window without partitions is small whatever the table holds.
+    upto = F.sum("total").over(Window.orderBy("part_id"))
+    row = (
+        totals.withColumn("upto", upto)
+        .withColumn("before", F.col("upto") - F.col("total"))
+        .where((F.col("upto") > offset) & (F.col("before") < offset + limit) & (F.col("total") > 0))
+        .agg(F.min("lo_us"), F.max("hi_us"), F.min("before"), F.sum("total"))
+        .first()
+    )
+    return None if row[0] is None else (TimeRange(row[0], row[1]), row[2], row[3])
 
 
 def number_rows(
@@ -109,13 +142,14 @@ def _number(sliced: DataFrame, ts_col: str, keys: list[str]) -> DataFrame:
     narrow pass over the stored table counts each (partition, slice) run.
 
     Slices are contiguous in that order, so there are at most partitions + slices
-    runs: the joined side is bounded by the plan and not by the data.
+    runs: the joined side is bounded by the plan and not by the data. The stored
+    table stays in the work folder, since the result reads it.
     """
     spark = sliced.sparkSession
     order = [F.col("part_id"), time_value(sliced, ts_col), *(named(k) for k in keys)]
     path = fresh_folder(spark, "numbered")
     (
-        sliced.repartitionByRange(*order)
+        sliced.repartitionByRange(*_task_count(sliced), *order)
         .sortWithinPartitions(*order)
         .withColumn("_pos", F.monotonically_increasing_id())
         .write.parquet(path)
@@ -132,6 +166,12 @@ def _number(sliced: DataFrame, ts_col: str, keys: list[str]) -> DataFrame:
     )
 
 
+def _task_count(rows: DataFrame) -> tuple[int, ...]:
+    """A partition count that grows with the rows, where the session's setting is too low for them."""
+    needed = -(-rows.count() // ROWS_PER_TASK)
+    return (needed,) if needed > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else ()
+
+
 def _required(keys: list[str] | None) -> list[str]:
     if not keys:
         raise ValueError("pages need tie-breaking keys that make the row order total")

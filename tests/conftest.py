@@ -25,6 +25,7 @@ def spark(tmp_path_factory):
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__sql__maxMetadataStringLength="2000",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("work")),
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,10 +1,10 @@
 from collections import Counter
 
 import pytest
-from conftest import instants
+from conftest import instants, plan_of
 from pyspark.sql import functions as F
 
-from chronoferry.operators.paging import explode_batches, fetch_numbered, fetch_page, number_rows, page_batches, page_index
+from chronoferry.operators.paging import explode_batches, fetch_page, number_rows, page_batches, page_index
 from chronoferry.operators.ranges import find_range
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -50,12 +50,27 @@ def test_one_instant_holding_all_rows_is_spread_over_tasks(spark):
     assert max(sizes) < 20_000 / 4
 
 
-def test_direct_and_numbered_fetch_agree(lineitem):
+def test_fetched_pages_by_hand(lineitem):
     narrow = lineitem.select("l_shipdate", *KEYS)
-    for offset in (0, 777, 5_900):
-        direct = fetch_page(narrow, "l_shipdate", KEYS, 150, offset).collect()
-        numbered = fetch_numbered(narrow, "l_shipdate", KEYS, 150, offset)
-        assert sorted(map(tuple, direct)) == sorted(map(tuple, numbered.collect()))
+    rng = find_range(lineitem, "l_shipdate")
+    rows = sorted(map(tuple, narrow.collect()))
+    for offset in (0, 777, len(rows) - 70, len(rows)):
+        for direct_rows in (100_000, 0):
+            page = fetch_page(narrow, rng, "l_shipdate", KEYS, 150, offset, direct_rows)
+            assert sorted(map(tuple, page.collect())) == rows[offset : offset + 150]
+
+
+def test_a_page_reads_only_its_slices(lineitem):
+    rng = find_range(lineitem, "l_shipdate")
+    page = fetch_page(lineitem, rng, "l_shipdate", KEYS, 10, 5_000)
+    plan = plan_of(page)
+    assert "TakeOrderedAndProject" in plan and "LessThan(l_shipdate" in plan
+
+
+def test_page_of_an_instant_that_holds_everything(spark):
+    df = spark.range(1_000).select(F.timestamp_seconds(F.lit(0)).alias("ts"), "id")
+    page = fetch_page(df, find_range(df), "ts", ["id"], 10, 500, direct_rows=100)
+    assert sorted(r.id for r in page.collect()) == list(range(500, 510))
 
 
 def test_batches_hold_ordered_records_and_explode_to_the_scan(events):

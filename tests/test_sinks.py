@@ -1,0 +1,144 @@
+import gzip
+import io
+import os
+import urllib.error
+import urllib.request
+
+import pyarrow as pa
+import pytest
+from transports import Folder, bodies
+
+from chronoferry.functions.line import to_lines
+from chronoferry.operators.points import to_points
+from chronoferry.sinks import line_endpoint, line_files
+from chronoferry.sinks.endpoint import LineEndpoint, LineWriter
+from chronoferry.sinks.endpoint import bodies as regroup
+from chronoferry.sinks.transport import Connection, HttpTransport, Rejected, RetryPolicy, transport_factory
+
+FAST = {"retry_delay_s": "0"}
+TARGET = {"url": "http://target:1/", "org": "an org", "bucket": "b&c", "token": "secret"}
+
+
+def endpoint(path, **options):
+    return line_endpoint(str(path), "secret", "org", "bucket", transport="transports:Folder", **FAST, **options)
+
+
+def test_waits_grow_to_a_limit():
+    policy = RetryPolicy()
+    assert policy.attempts == 5
+    assert [policy.wait_before(n) for n in range(2, 8)] == [5, 10, 20, 30, 30, 30]
+
+
+@pytest.mark.parametrize("failures, written", [(0, True), (4, True), (5, False), (9, False)])
+def test_at_most_five_attempts(tmp_path, failures, written):
+    writer = LineWriter({"transport": "transports:Folder", "url": str(tmp_path), "fail_sends": str(failures), **FAST})
+    batch = pa.record_batch([["a", "b", "c"]], ["line"])
+    if written:
+        assert writer.write(iter([batch])).lines == 3
+        assert list(bodies(tmp_path)) == [["a", "b", "c"]]
+    else:
+        with pytest.raises(ConnectionError):
+            writer.write(iter([batch]))
+        assert list(bodies(tmp_path)) == []
+    assert os.path.getsize(tmp_path / "closed") == 1
+
+
+def test_connecting_is_retried(tmp_path):
+    options = {"url": str(tmp_path), "fail_opens": "3"}
+    connection = Connection(lambda: Folder(options), RetryPolicy(delay_s=0))
+    connection.connect()
+    connection.send(b"x")
+    assert os.path.getsize(tmp_path / "opened") == 4
+
+
+def test_a_failed_check_opens_a_new_connection(tmp_path):
+    opened = []
+
+    def opener():
+        # The first connection fails to send, and to answer the check after that.
+        first = not opened
+        folder = Folder({"url": str(tmp_path), "fail_sends": "1" if first else "0"})
+        opened.append(folder)
+        return folder
+
+    connection = Connection(opener, RetryPolicy(delay_s=0))
+    connection.connect()
+    opened[0].left["fail_pings"] = 1
+    connection.send(b"x")
+    assert len(opened) == 2 and list(bodies(tmp_path)) == [["x"]]
+
+
+def test_a_refused_body_is_not_sent_again():
+    calls = []
+
+    def refuse():
+        calls.append(1)
+        raise Rejected("status 400")
+
+    with pytest.raises(Rejected):
+        RetryPolicy(delay_s=0).run(refuse)
+    assert len(calls) == 1
+
+
+def test_lines_are_regrouped_across_batches():
+    batches = [pa.record_batch([[str(i) for i in range(a, b)]], ["line"]) for a, b in ((0, 5), (5, 6), (6, 13))]
+    groups = list(regroup(iter(batches), 4))
+    assert [len(g) for g in groups] == [4, 4, 4, 1]
+    assert sum(groups, []) == [str(i) for i in range(13)]
+    assert list(regroup(iter([]), 4)) == []
+
+
+def test_http_request():
+    request = HttpTransport(TARGET).write_request(b"line")
+    assert request.full_url == "http://target:1/api/v2/write?org=an+org&bucket=b%26c&precision=ms"
+    assert request.get_method() == "POST" and request.get_header("Authorization") == "Token secret"
+    zipped = HttpTransport({**TARGET, "gzip": "true"}).write_request(b"line")
+    assert gzip.decompress(zipped.data) == b"line" and zipped.get_header("Content-encoding") == "gzip"
+
+
+@pytest.mark.parametrize("status, failure", [(400, Rejected), (401, Rejected), (429, urllib.error.HTTPError), (503, urllib.error.HTTPError)])
+def test_http_answers(monkeypatch, status, failure):
+    def answer(request, timeout):
+        raise urllib.error.HTTPError(request.full_url, status, "no", {}, io.BytesIO(b"why"))
+
+    monkeypatch.setattr(urllib.request, "urlopen", answer)
+    with pytest.raises(failure):
+        HttpTransport(TARGET).send(b"line")
+
+
+def test_transports_by_name(tmp_path):
+    assert isinstance(transport_factory(TARGET)(), HttpTransport)
+    assert isinstance(transport_factory({"transport": "transports:Folder", "url": str(tmp_path)})(), Folder)
+
+
+def test_points_reach_the_endpoint(spark, events, tmp_path):
+    lines = to_lines(to_points(events, "events"))
+    endpoint(tmp_path, batch_size=300)(lines.repartition(3))
+    sent = list(bodies(tmp_path))
+    assert max(map(len, sent)) == 300
+    assert sorted(sum(sent, [])) == sorted(r.line for r in lines.collect())
+
+
+def test_writers_bound_the_connections(events, tmp_path):
+    endpoint(tmp_path, writers=2)(to_lines(to_points(events.repartition(8), "events")))
+    assert os.path.getsize(tmp_path / "opened") == 2
+
+
+def test_a_task_that_keeps_failing_fails_the_job(events, tmp_path):
+    with pytest.raises(Exception, match="fail_sends|cannot"):
+        endpoint(tmp_path, fail_sends=5)(to_lines(to_points(events, "events")).coalesce(1))
+
+
+def test_endpoint_takes_one_text_column(spark, tmp_path):
+    spark.dataSource.register(LineEndpoint)
+    with pytest.raises(Exception, match="one text column"):
+        spark.range(3).write.format("lineprotocol").mode("append").options(url=str(tmp_path)).save()
+
+
+def test_files_are_not_overwritten(spark, events, tmp_path):
+    lines = to_lines(to_points(events, "events"))
+    sink = line_files(str(tmp_path / "out"), "gzip")
+    sink(lines)
+    assert spark.read.text(str(tmp_path / "out")).exceptAll(lines).count() == 0
+    with pytest.raises(Exception, match="(?i)already exists"):
+        sink(lines)
