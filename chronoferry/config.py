@@ -35,6 +35,7 @@ class MoveOptions:
     nested: str = "json"
     merge_by: tuple[str, ...] = ()
     compat: bool = False
+    even_slices: bool = False
 
     def __post_init__(self) -> None:
         if not self.measurement:

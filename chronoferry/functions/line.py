@@ -68,48 +68,33 @@ def to_lines(points: DataFrame) -> DataFrame:
 
 def parse_lines(lines: DataFrame, layout: PointLayout) -> DataFrame:
     """Points back from lines, for checking what was written. Absent members are NULL."""
-    # A stretch of characters in which the separators only occur escaped. Any character
-    # may follow a backslash, so that one must not be limited to a line.
-    word, item, name = (rf"(?:[^{stop}\\]|\\(?s:.))+" for stop in (" ", ",", "=,"))
-    cut = lines.select(
-        F.regexp_extract("line", f"^({word}) ", 1).alias("head"),
-        F.regexp_extract("line", f"^{word} ({word}) ", 1).alias("body"),
-        F.regexp_extract("line", r" (-?\d+)$", 1).cast("bigint").alias("ts_ms"),
+    part = F.split("line", " ", 3)
+    cut = lines.select(_mark_escaped(F.col("line")).alias("line")).select(
+        F.split(part[0], ",").alias("identity"), F.split(part[1], ",").alias("pairs"), part[2].alias("ts_ms")
     )
 
-    def pairs(text: Column, first: int) -> Column:
-        items = F.regexp_extract_all(text, F.lit(f"({item})"), F.lit(1))
-        items = F.slice(items, F.lit(first), F.greatest(F.size(items) - (first - 1), F.lit(0)))
+    def as_map(pairs: Column) -> Column:
         return F.map_from_entries(
             F.transform(
-                items,
+                pairs,
                 lambda x: F.struct(
-                    _unescape(F.regexp_extract(x, f"^({name})=", 1)).alias("k"),
-                    F.regexp_extract(x, f"^{name}=((?s:.*))$", 1).alias("v"),
+                    _unmark(F.substring_index(x, "=", 1)).alias("k"), F.substring_index(x, "=", -1).alias("v")
                 ),
             )
         )
 
+    tags = F.slice("identity", F.lit(2), F.size("identity"))
     read = cut.select(
-        _unescape(F.regexp_extract("head", f"^({item})", 1)).alias("measurement"),
-        "ts_ms",
-        pairs(F.col("head"), 2).alias("tag_map"),
-        pairs(F.col("body"), 1).alias("field_map"),
+        _unmark(F.col("identity")[0]).alias("measurement"),
+        F.col("ts_ms").cast("bigint"),
+        as_map(tags).alias("tag_map"),
+        as_map(F.col("pairs")).alias("field_map"),
     )
     columns = ["measurement", "ts_ms"]
     if layout.tags:
-        columns.append(F.struct(*(_unescape(F.col("tag_map")[c]).alias(c) for c in layout.tags)).alias("tags"))
+        columns.append(F.struct(*(_unmark(F.col("tag_map")[c]).alias(c) for c in layout.tags)).alias("tags"))
     if layout.fields:
-        columns.append(
-            F.struct(
-                *(
-                    F.rtrim(F.col("field_map")[c], F.lit("i")).cast("bigint").alias(c)
-                    if c in layout.i64
-                    else F.col("field_map")[c].cast("double").alias(c)
-                    for c in layout.fields
-                )
-            ).alias("fields")
-        )
+        columns.append(F.struct(*(_read_field(c, layout).alias(c) for c in layout.fields)).alias("fields"))
     return read.select(*columns)
 
 
@@ -131,5 +116,28 @@ def _is_finite(value: Column) -> Column:
     return ~F.isnan(value) & (F.abs(value) != float("inf"))
 
 
-def _unescape(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, r"\\([,= ])", "$1"), r"(\\+)\1(?=[,= ]|(?![\s\S]))", "$1")
+def _read_field(name: str, layout: PointLayout) -> Column:
+    value = F.col("field_map")[name]
+    return F.rtrim(value, F.lit("i")).cast("bigint") if name in layout.i64 else value.cast("double")
+
+
+# Stand-ins for escaped separators while a line is split; the first frees the mark itself.
+_MARKS = {"\x01": "\x010", ",": "\x01c", "=": "\x01e", " ": "\x01s"}
+
+
+def _mark_escaped(line: Column) -> Column:
+    """Replace escaped separators, so that those left are real. An odd run of backslashes escapes."""
+    line = F.replace(line, F.lit("\x01"), F.lit(_MARKS["\x01"]))
+    marked = line
+    for plain in ",= ":
+        marked = F.regexp_replace(marked, rf"(?<!\\)((?:\\\\)*+)\\{plain}", "$1" + _MARKS[plain])
+    return F.when(F.contains(line, F.lit("\\")), marked).otherwise(line)
+
+
+def _unmark(text: Column) -> Column:
+    """A name or value as it was before escaping."""
+    halved = F.regexp_replace(text, r"(?<!\\)(\\+)\1(?=\x01[ces]|(?![\s\S]))", "$1")
+    text = F.when(F.contains(text, F.lit("\\")), halved).otherwise(text)
+    for plain in (",", "=", " ", "\x01"):
+        text = F.replace(text, F.lit(_MARKS[plain]), F.lit(plain))
+    return text

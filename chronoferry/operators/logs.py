@@ -8,15 +8,12 @@ from pyspark.sql import functions as F
 # The two progress messages, what the reports look for, and how much they show.
 PROGRESS_WORD = "Processed"
 PROGRESS_FORMAT = "Processed {} records from time partition {} to {}"
-PROGRESS_PATTERN = r"Processed (\d+) records from time partition (.+?) to (.+?)\s*$"
 COMPLETED_FORMAT = "Completed processing time partition {} to {}, total records: {}"
-COMPLETED_PATTERN = r"Completed processing time partition (.+?) to (.+?), total records: (\d+)\s*$"
 PROBLEM_PATTERN = "(?i)error|warn|exception"
 PROGRESS_LINES = 100
 PROBLEM_LINES = 20
 
 
-
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """`pos, value` of every line below a path. `pos` orders the lines: file age, file, place in the file."""
     return spark.read.text(path).select(
@@ -32,12 +29,12 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
 
 def progress_line(records: Column, lo_text: Column, hi_text: Column) -> Column:
     """The message a slice logs on its way."""
-    return F.format_string(PROGRESS_FORMAT.replace("{}", "%s"), records.cast("string"), lo_text, hi_text)
+    return _fill(PROGRESS_FORMAT, records.cast("string"), lo_text, hi_text)
 
 
 def completed_line(records: Column, lo_text: Column, hi_text: Column) -> Column:
     """The message a slice logs at its end."""
-    return F.format_string(COMPLETED_FORMAT.replace("{}", "%s"), lo_text, hi_text, records.cast("string"))
+    return _fill(COMPLETED_FORMAT, lo_text, hi_text, records.cast("string"))
 
 
 def last_progress_lines(lines: DataFrame, count: int = PROGRESS_LINES) -> DataFrame:
@@ -52,29 +49,16 @@ def last_problem_lines(lines: DataFrame, count: int = PROBLEM_LINES) -> DataFram
 
 def parse_progress(lines: DataFrame) -> DataFrame:
     """`pos, slice_start, slice_end, records, done` of every progress or completion line."""
-
-    def part(column: str, pattern: str, group: int) -> Column:
-        return F.regexp_extract(column, pattern, group)
-
-    on_way = F.contains("value", F.lit(PROGRESS_WORD)) & F.col("value").rlike(PROGRESS_PATTERN)
-    at_end = F.contains("value", F.lit("Completed")) & F.col("value").rlike(COMPLETED_PATTERN)
+    on_way, at_end = _read(PROGRESS_FORMAT), _read(COMPLETED_FORMAT)
+    pieces = F.coalesce(
+        F.when(on_way.isNotNull(), F.struct(on_way[1], on_way[2], on_way[0], F.lit(False))),
+        F.when(at_end.isNotNull(), F.struct(at_end[0], at_end[1], at_end[2], F.lit(True))),
+    ).cast("struct<slice_start:string,slice_end:string,records:string,done:boolean>")
+    records = F.col("report.records").try_cast("bigint")
     return (
-        lines.select("pos", "value", on_way.alias("on_way"), at_end.alias("done"))
-        .where("on_way OR done")
-        .select(
-            "pos",
-            F.when(F.col("done"), part("value", COMPLETED_PATTERN, 1))
-            .otherwise(part("value", PROGRESS_PATTERN, 2))
-            .alias("slice_start"),
-            F.when(F.col("done"), part("value", COMPLETED_PATTERN, 2))
-            .otherwise(part("value", PROGRESS_PATTERN, 3))
-            .alias("slice_end"),
-            F.when(F.col("done"), part("value", COMPLETED_PATTERN, 3))
-            .otherwise(part("value", PROGRESS_PATTERN, 1))
-            .cast("bigint")
-            .alias("records"),
-            "done",
-        )
+        lines.select("pos", pieces.alias("report"))
+        .where(records.isNotNull())
+        .select("pos", "report.slice_start", "report.slice_end", records.alias("records"), "report.done")
     )
 
 
@@ -89,3 +73,26 @@ def latest_progress(lines: DataFrame) -> DataFrame:
             F.max("pos").alias("pos"),
         )
     )
+
+
+def _fill(message: str, *values: Column) -> Column:
+    texts = [F.lit(text) for text in message.split("{}")]
+    return F.concat(texts[0], *(part for pair in zip(values, texts[1:]) for part in pair))
+
+
+def _read(message: str) -> Column:
+    """The three values of a message as an array, NULL for other lines.
+
+    The fixed texts between the values are found one after the other; that is plain
+    text search, several times cheaper than a pattern with three groups.
+    """
+    first, second, third, _ = message.split("{}")
+    start = F.substring_index("value", first, -1)
+    rest = F.substring_index(start, second, -1)
+    values = F.array(
+        F.substring_index(start, second, 1),
+        F.substring_index(rest, third, 1),
+        F.rtrim(F.substring_index(rest, third, -1)),
+    )
+    complete = F.contains("value", F.lit(first)) & F.contains(start, F.lit(second)) & F.contains(rest, F.lit(third))
+    return F.when(complete, values)

@@ -48,6 +48,27 @@ def slice_of(ts_us: Column, rng: TimeRange, num_slices: int) -> Column:
     return F.least(whole_div(ts_us - _big(origin), width), last)
 
 
+def even_slices(counted: list[tuple[int, int, int]], num_slices: int) -> list[TimeRange]:
+    """Neighbouring fine slices joined into about `num_slices` of similar row counts.
+
+    `counted` holds `(lo_us, hi_us, rows)` of adjacent slices: bounded by how finely
+    the range was cut and not by the rows. No stretch of time is left out.
+    """
+    share = max(1, -(-sum(rows for _, _, rows in counted) // num_slices))
+    joined: list[TimeRange] = []
+    held, lo = 0, None
+    for slice_lo, slice_hi, rows in counted:
+        if lo is not None and held and held + rows > share:
+            joined.append(TimeRange(lo, slice_lo))
+            held, lo = 0, None
+        lo = slice_lo if lo is None else lo
+        held += rows
+        end = slice_hi
+    if lo is not None:
+        joined.append(TimeRange(lo, end))
+    return joined
+
+
 def with_slice(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_slices: int = 8) -> DataFrame:
     """Rows of the range with the `part_id` of their slice."""
     if "part_id" in df.columns:

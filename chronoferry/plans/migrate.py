@@ -54,7 +54,7 @@ def migrate_jdbc(spark: SparkSession, source: JdbcSource, sink: Sink, options: M
     rng = find_jdbc_range(spark, source, options.start, options.end, options.compat)
     if rng is None:
         return MoveReport(None)
-    rows = read_jdbc(spark, source, rng, options.num_slices)
+    rows = read_jdbc(spark, source, rng, options.num_slices, options.even_slices)
     if options.columns:
         rows = rows.select(*options.columns)
     return _copy(rows, rng, sink, options, None)

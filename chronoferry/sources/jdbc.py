@@ -20,9 +20,13 @@ from pyspark.sql import functions as F
 from chronoferry.config import DEFAULT_BATCH_SIZE, DEFAULT_SLICES, DEFAULT_TIME_COLUMN
 from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.ranges import TimeRange, parse_bounds
-from chronoferry.operators.slices import time_slices
+from chronoferry.operators.slices import even_slices, time_slices
 from chronoferry.sources.endpoint import native_url
 
+# For even slices: how much finer the counted slices are, and how many one statement counts.
+FINER = 32
+COUNTS_PER_STATEMENT = 128
+
 _NAME = r"[A-Za-z_][A-Za-z0-9_$]*"
 _TABLE = re.compile(rf"{_NAME}(\.{_NAME}){{0,2}}")
 
@@ -84,8 +88,7 @@ def find_jdbc_range(
     bounds = parse_bounds(spark, start, end)
     if None not in bounds:
         return TimeRange(*_cut(bounds, compat))
-    reader = spark.read.format("jdbc").option("url", native_url(source.url))
-    found = reader.options(**source.properties()).option("query", range_query(spark, source, start, end)).load()
+    found = _load(spark, source, range_query(spark, source, start, end))
     # Some databases return unquoted names in upper case, so the two columns are taken by place.
     oldest, newest = (epoch_us(F.col(c)) for c in found.columns)
     row = found.select(oldest.alias("lo_us"), newest.alias("last_us")).first()
@@ -98,27 +101,55 @@ def find_jdbc_range(
 def slice_predicates(
     spark: SparkSession, source: JdbcSource, rng: TimeRange, num_slices: int = DEFAULT_SLICES
 ) -> list[str]:
-    """One half-open condition per slice, without gap or overlap."""
+    """One half-open condition per slice of equal width, without gap or overlap."""
     slices = time_slices(spark, rng, num_slices).orderBy("part_id").collect()  # bounded by num_slices
-    edges = _literals(spark, source, [s["lo_us"] for s in slices] + [s["hi_us"] for s in slices])
-    return [
-        f"{source.time_name} >= {lo} AND {source.time_name} < {hi}"
-        for lo, hi in zip(edges[: len(slices)], edges[len(slices) :])
-    ]
+    return _conditions(spark, source, [TimeRange(s["lo_us"], s["hi_us"]) for s in slices])
 
 
-def read_jdbc(
+def count_query(source: JdbcSource, conditions: list[str]) -> str:
+    """The statement that counts the rows under each condition, one row per condition."""
+    return " UNION ALL ".join(
+        f"SELECT {place} AS place, COUNT(*) AS held FROM {source.table} WHERE {condition}"
+        for place, condition in enumerate(conditions)
+    )
+
+
+def even_predicates(
     spark: SparkSession, source: JdbcSource, rng: TimeRange, num_slices: int = DEFAULT_SLICES
+) -> list[str]:
+    """Conditions of about `num_slices` slices with similar row counts.
+
+    The database counts the rows of `FINER` times as many slices of equal width, and
+    neighbours are joined. A dense stretch then fills many slices instead of one.
+    """
+    fine = time_slices(spark, rng, num_slices * FINER).orderBy("part_id").collect()  # bounded likewise
+    edges = [TimeRange(s["lo_us"], s["hi_us"]) for s in fine]
+    conditions = _conditions(spark, source, edges)
+    held: dict[int, int] = {}
+    for first in range(0, len(conditions), COUNTS_PER_STATEMENT):
+        counts = _load(spark, source, count_query(source, conditions[first : first + COUNTS_PER_STATEMENT]))
+        held.update({first + int(place): int(rows) for place, rows in counts.collect()})
+    counted = [(e.lo_us, e.hi_us, held.get(place, 0)) for place, e in enumerate(edges)]
+    return _conditions(spark, source, even_slices(counted, num_slices))
+
+
+def read_jdbc(
+    spark: SparkSession,
+    source: JdbcSource,
+    rng: TimeRange,
+    num_slices: int = DEFAULT_SLICES,
+    even: bool = False,
 ) -> DataFrame:
     """The rows of the range, one Spark partition per slice.
 
-    Slices have equal width in time and not in rows; take more slices than cores
-    so that a dense stretch is spread over several of them.
+    Slices have equal width in time, or with `even` about equal row counts, which
+    costs the database one counting pass and keeps a dense stretch out of one task.
     """
+    cut = even_predicates if even else slice_predicates
     table = spark.read.jdbc(
         native_url(source.url),
         source.table,
-        predicates=slice_predicates(spark, source, rng, num_slices),
+        predicates=cut(spark, source, rng, num_slices),
         properties=source.properties(),
     )
     if source.ts_col not in table.columns:
@@ -126,6 +157,19 @@ def read_jdbc(
     return table
 
 
+def _load(spark: SparkSession, source: JdbcSource, statement: str) -> DataFrame:
+    reader = spark.read.format("jdbc").option("url", native_url(source.url)).options(**source.properties())
+    return reader.option("query", statement).load()
+
+
+def _conditions(spark: SparkSession, source: JdbcSource, slices: list[TimeRange]) -> list[str]:
+    edges = _literals(spark, source, [s.lo_us for s in slices] + [s.hi_us for s in slices])
+    return [
+        f"{source.time_name} >= {lo} AND {source.time_name} < {hi}"
+        for lo, hi in zip(edges[: len(slices)], edges[len(slices) :])
+    ]
+
+
 def _cut(bounds: tuple[int, int], compat: bool) -> tuple[int, int]:
     return tuple(us // 1000 * 1000 for us in bounds) if compat else bounds
 

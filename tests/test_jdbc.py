@@ -4,6 +4,8 @@ import pytest
 from conftest import instants
 
 from chronoferry.operators.ranges import TimeRange, find_range
+from chronoferry.operators.slices import even_slices
+from chronoferry.sources import jdbc
 from chronoferry.sources.endpoint import native_url
 from chronoferry.sources.jdbc import JdbcSource, find_jdbc_range, range_query, slice_predicates
 
@@ -66,3 +68,37 @@ def test_predicates_keep_microseconds_at_the_outer_edges(spark):
     predicates = slice_predicates(spark, source, find_range(df), 4)
     assert predicates[0].startswith("`ts` >= TIMESTAMP'2024-01-01 00:00:00.000123'")
     assert sum(df.where(p).count() for p in predicates) == 2
+
+
+def test_even_slices_split_a_dense_stretch(spark, events, monkeypatch):
+    # A third of the rows fall into one hour of the month.
+    dense = events.where("event_id % 3 = 0").selectExpr("TIMESTAMP_NTZ'2024-01-20 10:00:00' + make_dt_interval(0, 0, 0, CAST(event_id AS INT) * 2) AS ts")
+    rows = events.where("event_id % 3 <> 0").select("ts").union(dense).cache()
+    rows.createOrReplaceTempView("dense_rows")
+    source = JdbcSource("jdbc:x://h/d", "dense_rows", quote="`")
+    monkeypatch.setattr(jdbc, "_load", lambda spark, source, statement: spark.sql(statement))
+    rng = find_range(rows)
+    equal = [rows.where(p).count() for p in slice_predicates(spark, source, rng, 6)]
+    even = [rows.where(p).count() for p in jdbc.even_predicates(spark, source, rng, 6)]
+    assert sum(equal) == sum(even) == events.count()
+    assert max(even) < max(equal)
+
+
+def test_even_slices_leave_nothing_out():
+    counted = [(i * 10, i * 10 + 10, rows) for i, rows in enumerate([0, 0, 5, 100, 1, 1, 0, 7, 0])]
+    slices = even_slices(counted, 4)
+    assert slices[0].lo_us == 0 and slices[-1].hi_us == 90
+    assert all(a.hi_us == b.lo_us for a, b in zip(slices, slices[1:]))
+    assert TimeRange(30, 40) in slices
+    assert even_slices([(0, 10, 0)], 4) == [TimeRange(0, 10)]
+    assert even_slices([], 4) == []
+
+
+def test_range_statement_gives_the_range(spark, events, monkeypatch):
+    events.createOrReplaceTempView("some_events")
+    monkeypatch.setattr(jdbc, "_load", lambda spark, source, statement: spark.sql(statement))
+    source = JdbcSource("jdbc:x://h/d", "some_events", quote="`")
+    for bounds in ((None, None), ("2024-01-05 00:00:00", None), (None, "2024-01-20 00:00:00"), ("x", "2024-01-20 00:00:00")):
+        for compat in (False, True):
+            assert find_jdbc_range(spark, source, *bounds, compat) == find_range(events, "ts", *bounds, compat)
+    assert find_jdbc_range(spark, source, "2031-01-01 00:00:00") is None

@@ -99,3 +99,11 @@ def test_values_are_formatted_once(events):
     plan = plan_of(to_lines(to_points(events, "events")))
     condition = re.search(r"Filter (.*)", plan).group(1)
     assert "concat" not in condition
+
+
+def test_long_texts_with_many_escapes(spark):
+    text = "word, = \\ " * 50_000
+    df = spark.createDataFrame([(AT, text, 1)], "ts timestamp, t string, n int")
+    points = to_points(df, "m")
+    (back,) = parse_lines(to_lines(points), layout_of_points(points)).collect()
+    assert back.tags.t == text

@@ -82,14 +82,14 @@ def test_jdbc_job_with_a_stubbed_read(spark, events, tmp_path, monkeypatch):
     source = JdbcSource("jdbc:x://h/d", "t")
     asked = []
 
-    def read(spark, source, rng, num_slices):
-        asked.append((rng, num_slices))
+    def read(spark, source, rng, num_slices, even):
+        asked.append((rng, num_slices, even))
         return events
 
     monkeypatch.setattr(plan, "find_jdbc_range", lambda *a: TimeRange(0, 2 * 10**15))
     monkeypatch.setattr(plan, "read_jdbc", read)
     report = migrate_jdbc(spark, source, line_files(str(tmp_path / "out")), MoveOptions("e", num_slices=3))
-    assert asked == [(TimeRange(0, 2 * 10**15), 3)] and report.written == events.count()
+    assert asked == [(TimeRange(0, 2 * 10**15), 3, False)] and report.written == events.count()
 
 
 def test_options_are_checked():
