@@ -518,4 +518,5 @@ def _log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", F.concat(F.lit("INFO "), logs.completed_line(number, lo_text, hi_text)))
         .otherwise(F.concat(F.lit("INFO "), logs.progress_line(number, lo_text, hi_text)))
     )
-    return rows.select(number.alias("pos"), line.alias("value"))
+    # A generated column is computed once, where a projected one is repeated in every filter on it.
+    return rows.select(number.alias("pos"), F.explode(F.array(line)).alias("value"))
