@@ -34,7 +34,9 @@ def merge_points(points: DataFrame) -> DataFrame:
         *(field_of("fields", c).alias(name) for c, name in fields.items()),
         order.alias("seq"),
     )
-    merged = flat.groupBy("measurement", "ts_ms", *tags.values()).agg(
+    # Time comes first because sorts compare the first key by its prefix alone; the measurement
+    # is mostly one and the same.
+    merged = flat.groupBy("ts_ms", *tags.values(), "measurement").agg(
         *(_last_present(name).alias(name) for name in fields.values()),
         F.count(F.lit(1)).alias("merged_rows"),
     )

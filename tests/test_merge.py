@@ -14,20 +14,23 @@ def built(df, *order):
     return to_points(df, "m", carry=order, ignore=order)
 
 
-def test_merge_by_hand(spark):
+@pytest.mark.parametrize("order", [("seq",), ("major", "minor")])
+def test_merge_by_hand(spark, order):
     rnd = random.Random(3)
     rows = [
         (rnd.choice(SECONDS), rnd.choice(["a", "b", "", None]), i, rnd.choice([None, i * 1.5]), rnd.choice([None, i]))
         for i in range(400)
     ]
     df = spark.createDataFrame(rows, "ts string, tag string, seq bigint, v double, n bigint")
+    df = df.selectExpr("*", "seq div 7 AS major", "CAST(seq % 7 AS INT) AS minor")
+    df = df.drop(*({"seq", "major", "minor"} - set(order)))
     expected = {}
     for ts, tag, _, v, n in rows:
         old = expected.get((ts, tag or None), (None, None, 0))
         expected[ts, tag or None] = (old[0] if v is None else v, old[1] if n is None else n, old[2] + 1)
     got = {
         (SECONDS[r.ts_ms // 1000 % 60], r.tags.tag): (r.fields.v, r.fields.n, r.merged_rows)
-        for r in merge_points(built(df.repartition(8), "seq")).collect()
+        for r in merge_points(built(df.repartition(8), *order)).collect()
     }
     assert got == expected
 
