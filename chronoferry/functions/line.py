@@ -55,15 +55,19 @@ def is_writable(points: DataFrame) -> Column:
     return test
 
 
-def to_lines(points: DataFrame) -> DataFrame:
-    """One column `line`; points without a writable field are left out."""
+def line_of(points: DataFrame) -> Column:
+    """The line of a point with a writable field."""
     layout = layout_of_points(points)
     identity = [escape_column(F.col("measurement"), MEASUREMENT_ESCAPES), *(_tag(c) for c in layout.tags)]
     fields = [_field(c, layout) for c in layout.fields]
-    line = F.concat_ws(
+    return F.concat_ws(
         " ", F.concat_ws(",", *identity), F.concat_ws(",", *fields), F.col("ts_ms").cast("string")
     )
-    return points.where(is_writable(points)).select(line.alias("line"))
+
+
+def to_lines(points: DataFrame) -> DataFrame:
+    """One column `line`; points without a writable field are left out."""
+    return points.where(is_writable(points)).select(line_of(points).alias("line"))
 
 
 def parse_lines(lines: DataFrame, layout: PointLayout) -> DataFrame:

@@ -47,10 +47,15 @@ def observe_slices(
 ) -> DataFrame:
     """Count the rows of each slice while they pass, in the same job as the copy."""
     part = slice_of(epoch_us(time_value(rows, ts_col)), rng, num_slices)
+    return rows.observe(observation, *slice_metrics(part, num_slices))
+
+
+def slice_metrics(part: Column, num_slices: int) -> list[Column]:
+    """Aggregates `read` and, for a moderate number of slices, `slice_<i>`."""
     metrics = [F.count(F.lit(1)).alias("read")]
     if num_slices <= MAX_OBSERVED_SLICES:
         metrics += [F.count_if(part == i).alias(f"slice_{i}") for i in range(num_slices)]
-    return rows.observe(observation, *metrics)
+    return metrics
 
 
 def _one() -> Column:

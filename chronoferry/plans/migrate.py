@@ -13,15 +13,21 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronoferry.config import MoveOptions
-from chronoferry.functions.line import to_lines
+from chronoferry.functions.columns import time_value
+from chronoferry.functions.line import is_writable, line_of
+from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.merge import merge_points
 from chronoferry.operators.points import lost_values, rejected_rows, to_points
-from chronoferry.operators.progress import observe_slices
+from chronoferry.operators.progress import slice_metrics
 from chronoferry.operators.ranges import TimeRange, find_range
+from chronoferry.operators.slices import slice_of
 from chronoferry.sinks import Sink
 from chronoferry.sources.files import scan
 from chronoferry.sources.jdbc import JdbcSource, find_jdbc_range, read_jdbc
 
+# Columns that travel with the rows for the report only.
+_SLICE, _LOST = "__slice", "__lost"
+
 
 @dataclass(frozen=True)
 class MoveReport:
@@ -60,35 +66,52 @@ def migrate_jdbc(spark: SparkSession, source: JdbcSource, sink: Sink, options: M
     return _copy(rows, rng, sink, options, None)
 
 
-def points_of(rows: DataFrame, options: MoveOptions) -> DataFrame:
-    """Points of rows already cut to the range, merged if an order is given."""
-    points = to_points(
-        rows, options.measurement, options.ts_col, options.decimal, options.nested, carry=options.merge_by
-    )
-    return merge_points(points) if options.merge_by else points
-
-
 def _copy(
     rows: DataFrame, rng: TimeRange | None, sink: Sink, options: MoveOptions, rejected: int | None
 ) -> MoveReport:
     if rng is None:
         return MoveReport(None, rejected=rejected)
-    passed, built, sent = Observation(), Observation(), Observation()
-    seen = observe_slices(rows, passed, rng, options.ts_col, options.num_slices)
-    lost = Observation()
-    seen = seen.observe(lost, F.coalesce(F.sum(lost_values(rows, options.decimal)), F.lit(0)).alias("lost"))
-    points = points_of(seen, options).observe(built, F.count(F.lit(1)).alias("points"))
-    sink(to_lines(points).observe(sent, F.count(F.lit(1)).alias("lines")))
-    read, made, written = passed.get["read"], built.get["points"], sent.get["lines"]
+    part = slice_of(epoch_us(time_value(rows, options.ts_col)), rng, options.num_slices)
+    counted = rows.withColumns({_SLICE: part, _LOST: lost_values(rows, options.decimal)})
+    metrics = [
+        *slice_metrics(F.col(_SLICE), options.num_slices),
+        F.coalesce(F.sum(_LOST), F.lit(0)).alias("lost"),
+    ]
+    passed, sent = Observation(), Observation()
+    if options.merge_by:
+        counted = counted.observe(passed, *metrics)
+        points = merge_points(_points(counted, options, options.merge_by))
+        metrics, carried = [], []
+    else:
+        # Counting once, beside the finished line, leaves the whole conversion in one piece of code.
+        points, carried = _points(counted, options, (_SLICE, _LOST)), ["seq.*"]
+    line = F.when(is_writable(points), line_of(points)).alias("line")
+    ended = [F.count(F.lit(1)).alias("points"), F.count("line").alias("lines")]
+    lines = points.select(line, *carried).observe(sent, *metrics, *ended)
+    sink(lines.where(F.col("line").isNotNull()).select("line"))
+    after = sent.get
+    before = passed.get if options.merge_by else after
     return MoveReport(
         range=rng,
-        read=read,
-        written=written,
-        merged=read - made,
-        without_fields=made - written,
-        lost_values=lost.get["lost"],
+        read=before["read"],
+        written=after["lines"],
+        merged=before["read"] - after["points"],
+        without_fields=after["points"] - after["lines"],
+        lost_values=before["lost"],
         rejected=rejected,
-        slices={int(k[6:]): n for k, n in passed.get.items() if k.startswith("slice_")},
+        slices={int(k[6:]): n for k, n in before.items() if k.startswith("slice_")},
+    )
+
+
+def _points(rows: DataFrame, options: MoveOptions, carry: tuple[str, ...]) -> DataFrame:
+    return to_points(
+        rows,
+        options.measurement,
+        options.ts_col,
+        options.decimal,
+        options.nested,
+        carry=carry,
+        ignore=(_SLICE, _LOST),
     )
 
 
