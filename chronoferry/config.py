@@ -68,7 +68,7 @@ def use_utc(spark: SparkSession) -> None:
 
 def work_folder(spark: SparkSession) -> str:
     """The shared folder named by the session, or a local one when running locally."""
-    named = spark.conf.get(CHECKPOINT_CONF, None)
+    named = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
