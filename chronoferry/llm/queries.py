@@ -8,13 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from chronoferry.llm import decontaminate, pieces, quality, simhash
+from chronoferry.config import fresh_folder
+from chronoferry.llm import decontaminate, embeddings, pieces, quality, rollups, sharding, simhash, training_order
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.coded(_table(spark, sf_dir, "documents")))
 
@@ -42,12 +47,78 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each sequence of all documents is, with a checksum of what its shard's file has there."""
+    folder = fresh_folder(spark, "order")
+    placed = training_order.materialise(_table(spark, sf_dir, "documents"), folder)
+    records = training_order.read_shards(spark, folder).select("slot", F.crc32("record").alias("record_crc32"))
+    return placed.join(records, "slot", "left")
+
+
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of whole documents, written and read again; what is shown of the texts is computed from the files."""
+    folder = fresh_folder(spark, "shards")
+    sharding.write(spark, _table(spark, sf_dir, "documents"), folder)
+    return spark.read.parquet(folder).select(
+        "doc_id",
+        F.col("shard_size").alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals by source, language and tokenizer after four batches over all documents: their bytes as
+    tokens, estimated tokens, exact tokens that revise the estimates (committed twice), and a deletion of
+    the byte counts of documents without text."""
+    docs = _table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    ledger = rollups.Ledger(spark, fresh_folder(spark, "rollups"))
+    ledger.commit("bytes", rollups.changes(docs, "insert", "bytes", size, size))
+    guess = F.ceil(size / 3)
+    ledger.commit("estimates", rollups.changes(docs, "insert", "piece_bpe_32k", guess, size))
+    exact = rollups.counted(docs.select("source", "lang", "text", size.alias("size")))
+    guess = F.ceil(F.col("size") / 3)
+    exact = rollups.changes(exact, "revise", "piece_bpe_32k", F.col("tokens"), F.col("size"), guess, F.col("size"))
+    for _ in range(2):
+        ledger.commit("exact counts", exact)
+    ledger.commit("without text", rollups.changes(docs.where(size == 0), "delete", "bytes", size, size))
+    return ledger.totals()
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embeddings": op1_embeddings,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontamination": op4_decontamination,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
+    "op8_training_order": op8_training_order,
+    "op9_sharding": op9_sharding,
+    "op10_token_counts": op10_token_counts,
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_embeddings": """
+        WITH RECURSIVE usable AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+        ),
+        reach AS (
+            SELECT vec_id AS a, vec_id AS b FROM embeddings
+            UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+        ),
+        classes AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+        SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
+        FROM embeddings e JOIN classes ON classes.a = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
+    """,
+}
