@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronoferry.config import fresh_folder
-from chronoferry.llm import decontaminate, embeddings, pieces, quality, rollups, sharding, simhash, training_order
+from chronoferry.llm import decontaminate, embeddings, language_model, licences, pieces, quality, rollups, sharding, simhash, training_order
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,10 @@ def op1_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(pieces.coded(_table(spark, sf_dir, "documents")))
 
@@ -29,6 +33,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op5_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     seen = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return seen.select(
@@ -91,8 +99,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
+    "op2_licences": op2_licences,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_decontamination": op4_decontamination,
+    "op5_language_model": op5_language_model,
     "op6_simhash": op6_simhash,
     "op7_quality": op7_quality,
     "op8_training_order": op8_training_order,
