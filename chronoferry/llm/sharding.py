@@ -74,7 +74,7 @@ def shuffle(
 
     kind = T.StructType([dealt.schema["row"], *T._parse_datatype_string("size long, bucket int, place long").fields])
     folder = fresh_folder(docs.sparkSession, "shuffled")
-    dealt.mapInArrow(run, kind).write.parquet(folder)
+    dealt.mapInArrow(run, kind).write.option("compression", "zstd").parquet(folder)
     return docs.sparkSession.read.schema(kind).parquet(folder), folder
 
 
@@ -94,12 +94,13 @@ def sharded(
     empty. Columns of the same names are replaced.
     """
     rows, _ = shuffle(docs, id_col, text_col, seed, bucket_bytes)
-    # One row for each bucket: the rows in front of it.
+    # One row of 16 bytes for each bucket: the rows in front of it. Small enough for every executor, as a
+    # bucket stands for BUCKET_BYTES of text.
     counts = rows.groupBy("bucket").agg(F.count("*").alias("n"))
     fronts = counts.select("bucket", "n", F.expr("sum(n) over (order by bucket) - n").alias("front"))
     total = counts.agg(F.sum("n")).first()[0] or 0
     small, large = divmod(total, shards)  # the first `large` shards have one row more
-    numbered = rows.join(fronts.select("bucket", "front"), "bucket").withColumn("number", F.col("front") + F.col("place"))
+    numbered = rows.join(F.broadcast(fronts.select("bucket", "front")), "bucket").withColumn("number", F.col("front") + F.col("place"))
     edge = large * (small + 1)
     # `small` is 0 only where every row is in front of the edge.
     shard = F.when(F.col("number") < edge, F.expr(f"number div {small + 1}")).otherwise(
@@ -117,4 +118,4 @@ def sharded(
 
 def write(spark: SparkSession, docs: DataFrame, folder: str, **options: object) -> None:
     """The shards as Parquet, one folder `shard=k` each; a reader takes the rows by `slot`."""
-    sharded(docs, **options).write.partitionBy("shard").parquet(folder)
+    sharded(docs, **options).write.partitionBy("shard").option("compression", "zstd").parquet(folder)

@@ -23,7 +23,8 @@ class Tokenizer(Pieces):
         # The encoder puts a space in front: take it away where a unit has it, and its token where not.
         spaced = [u[:1] == SPACE for u in units]
         lists = self.processor.encode([u[1:] if s else u for u, s in zip(units, spaced)], num_threads=1)
-        lists = [ids if s else ids[1:] for ids, s in zip(lists, spaced)]
+        alone = [self.single[SPACE]] if SPACE in self.single else super().encode_units([SPACE])[0].tolist()
+        lists = [(ids or alone) if s else ids[1:] for ids, s in zip(lists, spaced)]
         ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
         return np.fromiter(chain.from_iterable(lists), np.int32, int(ends[-1])), ends
 

@@ -141,7 +141,7 @@ def materialise(
     stored = fresh_folder(spark, "sequences")
     sequences(docs, id_col, text_col, model_path, length).write.option("compression", "zstd").parquet(stored)
     rows = spark.read.parquet(stored)
-    # One row for each input partition: the sequences in front of it.
+    # One row of 16 bytes for each input partition: the sequences in front of it. Every executor can hold them.
     fronts = rows.groupBy("part").agg(F.count("*").alias("n")).select(
         "part", "n", F.expr("sum(n) over (order by part) - n").alias("front")
     )
@@ -151,7 +151,7 @@ def materialise(
     def slot(index: pa.Array) -> pa.Array:
         return pa.array(permuted(index.to_numpy(), count, key))
 
-    placed = rows.join(fronts.select("part", "front"), "part").withColumn("slot", slot(F.col("front") + F.col("number")))
+    placed = rows.join(F.broadcast(fronts.select("part", "front")), "part").withColumn("slot", slot(F.col("front") + F.col("number")))
     placed = placed.withColumn("shard", F.expr(f"slot div {shard_rows}").cast("int"))
     size = len(np.empty(length, token_kind(loaded(read_model(model_path)).size)).tobytes())
     shards = max(1, -(-count // shard_rows))
