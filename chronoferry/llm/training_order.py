@@ -156,7 +156,7 @@ def materialise(
     size = len(np.empty(length, token_kind(loaded(read_model(model_path)).size)).tobytes())
     shards = max(1, -(-count // shard_rows))
     dealt = placed.select("shard", "slot", packed(F.col("record")).alias("record")).repartitionById(shards, F.col("shard"))
-    ordered = dealt.sortWithinPartitions("slot").select("shard", unpacked(F.col("record")).cast("string").alias("value"))
+    ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", unpacked(F.col("record")).cast("string").alias("value"))
     ordered.write.partitionBy("shard").option("lineSep", "\n").text(folder)
     return placed.select(
         "slot", "shard", (F.col("slot") % shard_rows * (size + 1)).alias("offset"), F.col("n_tokens").cast("long"), "doc_ids"
