@@ -15,11 +15,15 @@ from chronoferry.config import ship_package, work_folder
 
 # Bytes of text that a Python task works on at once; a longer text is a piece of its own.
 CHUNK_BYTES = 4 << 20
+# Bytes that Spark hands to a Python worker at once.
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Send the package to the workers and make sure that checkpoints have a shared folder."""
+    """Send the package to the workers, bound the batches that they get, and make sure that checkpoints
+    have a shared folder."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(work_folder(spark))
 
@@ -135,14 +139,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def blocked(rows: DataFrame, key: str, by: str, block: int) -> DataFrame:
-    """Rows whose `key` others have too, with the pair of blocks (i, j) in which they meet.
+    """Rows with the pair of blocks (i, j) in which those of one `key` meet.
 
-    A key's rows are dealt by a hash of `by` into blocks of about `block` rows, and each pair of blocks
-    is a group of its own: no pair of rows is lost, and no group outgrows two blocks. A key with few
-    rows has the one pair (0, 0).
+    A key with more than `block` rows is dealt by a hash of `by` into blocks of about that size, and each
+    pair of blocks is a group of its own: no pair of rows is lost, and no group outgrows two blocks. All
+    other keys have the one pair (0, 0).
     """
-    crowd = rows.groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
-    met = rows.join(crowd, key).withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+    crowded = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    met = rows.join(crowded, key, "left")
+    met = met.withColumn("_blocks", F.coalesce(F.ceil(F.col("_n") / block), F.lit(1)).cast("int"))
     met = met.withColumn("_own", F.pmod(F.xxhash64(by), "_blocks"))
     met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     return met.select(
