@@ -16,6 +16,8 @@ from chronoferry.llm.common import blocked, chunks, columns_as, components, fore
 SHINGLE_WORDS = 4
 HASH_SEED = 42
 MAX_BITS = 4
+# Bytes of text whose shingles are hashed at once: every byte costs about 20 in memory.
+HASHED_BYTES = 1 << 20
 # Fingerprints of one signature that are compared with each other in one task at a time.
 BLOCK = 1024
 # Pairs that a task gathers before it reduces them to a forest.
@@ -47,7 +49,7 @@ def text_fingerprints(texts: list[bytes]) -> np.ndarray:
     if full.any():
         bits = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1)
         starts = (np.cumsum(sizes) - sizes)[full]
-        set_bits = np.add.reduceat(bits, starts, axis=0, dtype=np.int64)
+        set_bits = np.add.reduceat(bits, starts, axis=0, dtype=np.int32)
         over_half = 2 * set_bits > sizes[full][:, None]
         out[full] = np.packbits(over_half, axis=1).view(np.uint64).ravel()
     return out
@@ -61,7 +63,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", HASHED_BYTES):
             fp = text_fingerprints(utf8(part.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("text_hash"), pa.array(fp.view(np.int64))], ["id", "text_hash", "fp"]
