@@ -37,6 +37,7 @@ class MoveOptions:
     merge_by: tuple[str, ...] = ()
     compat: bool = False
     even_slices: bool = False
+    lenient: bool = False
 
     def __post_init__(self) -> None:
         if not self.measurement:

@@ -53,6 +53,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--batch-size", type=int, default=DEFAULT_BATCH_SIZE)
     parser.add_argument("--start-time", help="yyyy-MM-dd HH:mm:ss.SSS, inclusive")
     parser.add_argument("--end-time", help="yyyy-MM-dd HH:mm:ss.SSS, exclusive")
+    parser.add_argument("--lenient", action="store_true", help="leave out bounds that can't be read, with a warning")
     parser.add_argument("--merge-by", action="append", default=[], help="order column for merging equal points")
     parser.add_argument("--even-slices", action="store_true", help="cut JDBC slices by row counts")
     parser.add_argument("--rejects", help="path for rows without a usable time (file sources)")
@@ -76,6 +77,7 @@ def run(args: argparse.Namespace) -> MoveReport:
         batch_size=args.batch_size,
         merge_by=tuple(args.merge_by),
         even_slices=args.even_slices,
+        lenient=args.lenient,
     )
     if args.source_files:
         rejects = args.rejects and (lambda rows: rows.write.mode("errorifexists").json(args.rejects))

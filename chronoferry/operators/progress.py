@@ -14,9 +14,6 @@ from chronoferry.operators.slices import slice_counts, slice_of, time_slices, wh
 # Milestones are generated in blocks of this many, so no array grows with the data.
 _BLOCK = 1000
 
-# Beyond this many slices, count them with `slice_totals` and not inside the copy.
-MAX_OBSERVED_SLICES = 200
-
 
 def slice_totals(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_slices: int = 8) -> DataFrame:
     """`part_id, lo_us, hi_us, total` for every slice, empty ones included."""
@@ -51,11 +48,19 @@ def observe_slices(
 
 
 def slice_metrics(part: Column, num_slices: int) -> list[Column]:
-    """Aggregates `read` and, for a moderate number of slices, `slice_<i>`."""
-    metrics = [F.count(F.lit(1)).alias("read")]
-    if num_slices <= MAX_OBSERVED_SLICES:
-        metrics += [F.count_if(part == i).alias(f"slice_{i}") for i in range(num_slices)]
-    return metrics
+    """Aggregates `read` and `slices`, which `counts_of` reads.
+
+    A histogram with as many bins as there are slices has a bin for each slice, and so counts exactly.
+    """
+    return [F.count(F.lit(1)).alias("read"), F.histogram_numeric(part, F.lit(max(num_slices, 2))).alias("slices")]
+
+
+def counts_of(observed: dict, num_slices: int) -> dict[int, int]:
+    """The rows of every slice, empty ones included, as observed by `slice_metrics`."""
+    counts = dict.fromkeys(range(num_slices), 0)
+    for bin_ in observed["slices"] or []:
+        counts[int(bin_["x"])] += int(bin_["y"])
+    return counts
 
 
 def _one() -> Column:

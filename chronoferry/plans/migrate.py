@@ -18,7 +18,7 @@ from chronoferry.functions.line import is_writable, line_of
 from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.merge import merge_points
 from chronoferry.operators.points import lost_values, rejected_rows, to_points
-from chronoferry.operators.progress import slice_metrics
+from chronoferry.operators.progress import counts_of, slice_metrics
 from chronoferry.operators.ranges import TimeRange, find_range
 from chronoferry.operators.slices import slice_of
 from chronoferry.sinks import Sink
@@ -49,7 +49,7 @@ def migrate(df: DataFrame, sink: Sink, options: MoveOptions, rejects: Sink | Non
     With `rejects`, rows without a usable time are handed to it in a second scan
     that reads only row groups that have them (on a typed time column).
     """
-    rng = find_range(df, options.ts_col, options.start, options.end, options.compat)
+    rng = find_range(df, options.ts_col, options.start, options.end, options.compat, options.lenient)
     rows = scan(df, rng, options.ts_col, options.columns)
     rejected = None if rejects is None else _write_rejects(df, rejects, options)
     return _copy(rows, rng, sink, options, rejected)
@@ -57,7 +57,7 @@ def migrate(df: DataFrame, sink: Sink, options: MoveOptions, rejects: Sink | Non
 
 def migrate_jdbc(spark: SparkSession, source: JdbcSource, sink: Sink, options: MoveOptions) -> MoveReport:
     """Copy a JDBC table: the database finds the range, each slice is one task."""
-    rng = find_jdbc_range(spark, source, options.start, options.end, options.compat)
+    rng = find_jdbc_range(spark, source, options.start, options.end, options.compat, options.lenient)
     if rng is None:
         return MoveReport(None)
     rows = read_jdbc(spark, source, rng, options.num_slices, options.even_slices)
@@ -99,7 +99,7 @@ def _copy(
         without_fields=after["points"] - after["lines"],
         lost_values=before["lost"],
         rejected=rejected,
-        slices={int(k[6:]): n for k, n in before.items() if k.startswith("slice_")},
+        slices=counts_of(before, options.num_slices),
     )
 
 

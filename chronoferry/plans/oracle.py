@@ -11,13 +11,13 @@ def _ms(column: str) -> str:
     return f"epoch_us({column}) // 1000"
 
 
-def _sliced(table: str, ts: str) -> str:
+def _sliced(table: str, ts: str, slices: int = q.SLICES) -> str:
     """CTEs `r` (range), `g` (grid of slices) and `s` (rows with their slice)."""
     return f"""
     r AS (SELECT epoch_us(min({ts})) AS lo, epoch_us(max({ts})) + 1 AS hi FROM {table}),
     g AS (SELECT lo, hi, lo // 1000 * 1000 AS origin,
-                 (hi // 1000 - lo // 1000) // {q.SLICES} * 1000 AS width FROM r),
-    s AS (SELECT t.*, least((epoch_us(t.{ts}) - g.origin) // g.width, {q.SLICES - 1}) AS part_id
+                 (hi // 1000 - lo // 1000) // {slices} * 1000 AS width FROM r),
+    s AS (SELECT t.*, least((epoch_us(t.{ts}) - g.origin) // g.width, {slices - 1}) AS part_id
           FROM {table} t CROSS JOIN g)"""
 
 
@@ -172,7 +172,10 @@ ORACLE: dict[str, str] = {
         UNION ALL
         SELECT 'start', epoch_us(min(ts)), epoch_us(max(ts)) + 1 FROM events WHERE ts < TIMESTAMP '{q.WEEK_UNTIL}'
         UNION ALL
-        SELECT 'both', epoch_us(min(ts)), epoch_us(max(ts)) + 1 FROM events""",
+        SELECT 'both', epoch_us(min(ts)), epoch_us(max(ts)) + 1 FROM events
+        UNION ALL
+        SELECT 'end after a date', epoch_us(min(ts)), epoch_us(max(ts)) + 1
+        FROM events WHERE ts >= DATE '{q.WEEK_FROM[:10]}'""",
     "range_empty": f"""
         SELECT count(lo) AS ranges, coalesce(sum(n), 0)::BIGINT AS n
         FROM (SELECT min(ts) AS lo, count(*) AS n FROM events WHERE ts >= TIMESTAMP '{q.AFTER_ALL}')""",
@@ -268,6 +271,11 @@ ORACLE: dict[str, str] = {
         "ts_ms",
         f"({_merged('lineitem', _MERGED_FIELDS)})",
     ),
+    "migration_slices": f"""
+        WITH {_sliced("lineitem", "l_shipdate", q.MANY_SLICES)}
+        SELECT merged, i AS part_id, count(s.part_id) AS n
+        FROM range({q.MANY_SLICES}) AS n(i) CROSS JOIN (VALUES (false), (true)) AS m(merged)
+        LEFT JOIN s ON s.part_id = i GROUP BY ALL""",
     "migration_report": f"""
         WITH kept AS (SELECT * FROM lineitem WHERE l_returnflag <> 'R'),
         {_sliced("kept", "l_shipdate")},

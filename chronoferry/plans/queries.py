@@ -30,6 +30,7 @@ ORDERS_UNTIL = "1999-09-01 00:00:00.000"
 WEEK_FROM = "2024-01-08 00:00:00.000"
 WEEK_UNTIL = "2024-01-15 00:00:00.000"
 AFTER_ALL = "2031-01-01 00:00:00.000"
+MANY_SLICES = 300
 UNREADABLE = "sometime in January"
 FETCH_LIMIT, FETCH_OFFSET = 500, 10_000
 DEEP_LIMIT, DEEP_OFFSET = 2000, 50_000
@@ -94,13 +95,15 @@ def range_explicit(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def range_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    bad_end = ranges.range_frame(events, start=WEEK_FROM, end=UNREADABLE)
-    bad_start = ranges.range_frame(events, start=UNREADABLE, end=WEEK_UNTIL)
-    bad_both = ranges.range_frame(events, start=UNREADABLE, end=UNREADABLE)
+    bad_end = ranges.range_frame(events, start=WEEK_FROM, end=UNREADABLE, lenient=True)
+    bad_start = ranges.range_frame(events, start=UNREADABLE, end=WEEK_UNTIL, lenient=True)
+    bad_both = ranges.range_frame(events, start=UNREADABLE, end=UNREADABLE, lenient=True)
+    bare_date = ranges.range_frame(events, start=WEEK_FROM[:10], end=UNREADABLE, lenient=True)
     return (
         bad_end.select(F.lit("end").alias("unreadable"), "*")
         .unionByName(bad_start.select(F.lit("start").alias("unreadable"), "*"))
         .unionByName(bad_both.select(F.lit("both").alias("unreadable"), "*"))
+        .unionByName(bare_date.select(F.lit("end after a date").alias("unreadable"), "*"))
     )
 
 
@@ -374,6 +377,18 @@ def migrate_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, path, "text", "line string")
 
 
+@query
+def migration_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every one of many slices, as the reports of a plain and of a merging job have them."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    rows = []
+    for merge_by in ((), tuple(LINE_KEYS)):
+        options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=MANY_SLICES, merge_by=merge_by)
+        report = migrate(lineitem, line_files(fresh_folder(spark, "migrated")), options)
+        rows += [(bool(merge_by), k, n) for k, n in report.slices.items()]
+    return spark.createDataFrame(rows, "merged boolean, part_id bigint, n bigint")
+
+
 @query
 def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem").withColumn(

@@ -69,9 +69,11 @@ class JdbcSource:
         return {**{k: v for k, v in known.items() if v is not None}, **self.options}
 
 
-def range_query(spark: SparkSession, source: JdbcSource, start: str | None = None, end: str | None = None) -> str:
+def range_query(
+    spark: SparkSession, source: JdbcSource, start: str | None = None, end: str | None = None, lenient: bool = False
+) -> str:
     """The statement that finds the oldest and newest time between the readable bounds."""
-    start_us, end_us = parse_bounds(spark, start, end)
+    start_us, end_us = parse_bounds(spark, start, end, lenient)
     tests = [
         f"{source.time_name} {op} {text}"
         for op, text in zip((">=", "<"), _literals(spark, source, [start_us, end_us]))
@@ -82,13 +84,18 @@ def range_query(spark: SparkSession, source: JdbcSource, start: str | None = Non
 
 
 def find_jdbc_range(
-    spark: SparkSession, source: JdbcSource, start: str | None = None, end: str | None = None, compat: bool = False
+    spark: SparkSession,
+    source: JdbcSource,
+    start: str | None = None,
+    end: str | None = None,
+    compat: bool = False,
+    lenient: bool = False,
 ) -> TimeRange | None:
     """The range of the table, aggregated by the database; see `operators.ranges` for its meaning."""
-    bounds = parse_bounds(spark, start, end)
+    bounds = parse_bounds(spark, start, end, lenient)
     if None not in bounds:
         return TimeRange(*_cut(bounds, compat))
-    found = _load(spark, source, range_query(spark, source, start, end))
+    found = _load(spark, source, range_query(spark, source, start, end, lenient))
     # Some databases return unquoted names in upper case, so the two columns are taken by place.
     oldest, newest = (epoch_us(F.col(c)) for c in found.columns)
     row = found.select(oldest.alias("lo_us"), newest.alias("last_us")).first()

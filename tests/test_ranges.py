@@ -53,7 +53,7 @@ def test_row_at_start_is_in_and_row_at_end_is_out(spark):
         ("2024-01-02 00:00:00", None, (DAY, 2 * DAY + 1)),
         (None, "2024-01-03 00:00:00", (0, DAY + 1)),
         ("2024-01-02 00:00:00", "nonsense", (DAY, 2 * DAY + 1)),
-        ("2024-01-02", "2024-01-03 00:00:00", (0, DAY + 1)),
+        ("2024-01-02", "2024-01-03 00:00:00", (DAY, 2 * DAY)),
         ("nonsense", "nonsense", (0, 2 * DAY + 1)),
         ("2025-01-01 00:00:00", None, None),
         (None, "2023-01-01 00:00:00", None),
@@ -62,9 +62,9 @@ def test_row_at_start_is_in_and_row_at_end_is_out(spark):
 )
 def test_one_readable_bound(spark, start, end, expected):
     df = instants(spark, ["2024-01-01 00:00:00", "2024-01-02 00:00:00", "2024-01-03 00:00:00"])
-    rng = find_range(df, start=start, end=end)
+    rng = find_range(df, start=start, end=end, lenient=True)
     assert rng == (None if expected is None else TimeRange(T0 + expected[0], T0 + expected[1]))
-    assert range_frame(df, start=start, end=end).count() == (0 if expected is None else 1)
+    assert range_frame(df, start=start, end=end, lenient=True).count() == (0 if expected is None else 1)
 
 
 def test_empty_table_and_nulls(spark):
@@ -126,3 +126,12 @@ def test_session_zone_applies_to_bounds_and_wall_clock_columns(spark):
 def test_bounds_with_other_columns_filtered_later(events):
     rng = find_range(events.where(F.col("event_type") == "view"))
     assert rng is not None and rng.lo_us < rng.hi_us
+
+
+def test_bounds_fail_closed(spark):
+    df = instants(spark, ["2024-01-01 00:00:00", "2024-01-03 00:00:00"])
+    with pytest.raises(ValueError, match="end"):
+        find_range(df, start="2024-01-01", end="2024-1-25T99:00:00")
+    assert find_range(df, start="2024-01-02", end="no time", lenient=True) == TimeRange(T0 + 2 * DAY, T0 + 2 * DAY + 1)
+    assert find_range(df, start="2024-01-02", end="2024-01-02T12:00:00") == TimeRange(T0 + DAY, T0 + DAY + DAY // 2)
+    assert find_range(df, start=" ", end="") == find_range(df)
