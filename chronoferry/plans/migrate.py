@@ -7,6 +7,7 @@ taken while the rows pass; nothing is read twice for them.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -25,13 +26,15 @@ from chronoferry.sinks import Sink
 from chronoferry.sources.files import scan
 from chronoferry.sources.jdbc import JdbcSource, find_jdbc_range, read_jdbc
 
+log = logging.getLogger(__name__)
+
 # Columns that travel with the rows for the report only.
 _SLICE, _LOST = "__slice", "__lost"
 
 
 @dataclass(frozen=True)
 class MoveReport:
-    """What a migration did. `rejected` is None if rejects were not asked for."""
+    """What a migration did. `rejected` is None for JDBC sources, whose rows without a time no slice reads."""
 
     range: TimeRange | None
     read: int = 0
@@ -46,12 +49,17 @@ class MoveReport:
 def migrate(df: DataFrame, sink: Sink, options: MoveOptions, rejects: Sink | None = None) -> MoveReport:
     """Copy a table to a sink.
 
-    With `rejects`, rows without a usable time are handed to it in a second scan
-    that reads only row groups that have them (on a typed time column).
+    Rows without a usable time are counted, and handed to `rejects` if given, in a second scan that
+    reads only row groups that have them (on a typed time column).
     """
     rng = find_range(df, options.ts_col, options.start, options.end, options.compat, options.lenient)
     rows = scan(df, rng, options.ts_col, options.columns)
-    rejected = None if rejects is None else _write_rejects(df, rejects, options)
+    if rejects is None:
+        rejected = rejected_rows(df, options.ts_col).count()
+    else:
+        rejected = _write_rejects(df, rejects, options)
+    if rejected:
+        log.warning("%d rows have no usable time and are not copied", rejected)
     return _copy(rows, rng, sink, options, rejected)
 
 

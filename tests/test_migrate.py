@@ -20,7 +20,7 @@ def test_whole_table(spark, events, tmp_path):
     report = migrate(events, line_files(str(tmp_path / "out")), MoveOptions("events", num_slices=4))
     n = events.count()
     assert (report.read, report.written, report.merged, report.without_fields) == (n, n, 0, 0)
-    assert report.rejected is None and sum(report.slices.values()) == n and len(report.slices) == 4
+    assert report.rejected == 0 and sum(report.slices.values()) == n and len(report.slices) == 4
     got = spark.read.text(str(tmp_path / "out"))
     expected = to_lines(to_points(events, "events"))
     assert got.exceptAll(expected).count() == 0 and got.count() == n
@@ -75,7 +75,7 @@ def test_nothing_to_move(events):
     def fail(lines):
         raise AssertionError("nothing should be written")
 
-    assert migrate(events, fail, MoveOptions("e", start="2031-01-01 00:00:00")) == MoveReport(None)
+    assert migrate(events, fail, MoveOptions("e", start="2031-01-01 00:00:00")) == MoveReport(None, rejected=0)
 
 
 def test_jdbc_job_with_a_stubbed_read(spark, events, tmp_path, monkeypatch):
