@@ -20,10 +20,10 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Units of more characters are relaxed one by one with a heap instead of together in rounds.
 LONG_UNIT = 64
-CHUNK = 6 << 20
+CHUNK = 4 << 20
 NONE = np.iinfo(np.int64).max
 # Encoded units that a worker keeps for its next batch at most.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 
 class Pieces:

@@ -23,7 +23,7 @@ def counted(docs: DataFrame, text_col: str = "text", model_path: str = DEFAULT_M
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
     return extended(
-        docs, text_col, name, "long", lambda text: pa.array(loaded(shared.value).counts(strings(text))), limit=8 << 20
+        docs, text_col, name, "long", lambda text: pa.array(loaded(shared.value).counts(strings(text))), limit=4 << 20
     )
 
 

@@ -22,7 +22,7 @@ SEQUENCE = 4096
 SHARD_ROWS = 2048
 KEY = 0x5EED_0F_0DE2
 ROUNDS = 4
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
