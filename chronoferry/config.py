@@ -42,6 +42,8 @@ class MoveOptions:
     def __post_init__(self) -> None:
         if not self.measurement:
             raise ValueError("measurement must not be empty")
+        if self.measurement.startswith("#"):
+            raise ValueError("a measurement that begins with # would make every line a comment")
         if self.num_slices < 1 or self.batch_size < 1:
             raise ValueError("num_slices and batch_size must be positive")
 

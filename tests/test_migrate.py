@@ -111,3 +111,8 @@ def test_rejects_scan_only_row_groups_with_nulls(events):
 
     assert "PushedFilters: [IsNull(ts)]" in plan_of(rejected_rows(events))
     assert rejected_rows(events.withColumn("ts", F.lit(None).cast("timestamp"))).count() == events.count()
+
+
+def test_measurement_that_hides_its_lines():
+    with pytest.raises(ValueError, match="comment"):
+        MoveOptions("#cpu")
