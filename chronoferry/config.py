@@ -84,6 +84,12 @@ def work_folder(spark: SparkSession) -> str:
     return folder
 
 
+def use_checkpoints(spark: SparkSession) -> None:
+    """Make sure that checkpoints have a shared folder."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(work_folder(spark))
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 

@@ -4,59 +4,74 @@ A plain copy needs none of this. It serves users who want the batches that a
 paged read would hand out: page `k` of a slice holds its rows `k*size` to
 `(k+1)*size - 1` in the order of the time column and the given keys. The keys
 must make the order total, otherwise a page is not well defined.
+
+A window over a slice would sort the slice in one task. Here the order is cut into
+groups by bounds out of a hashed sample of it, which is the same whenever it is taken;
+rows are counted per group, and a row's number is its place in its group plus the rows
+of the groups in front. So a slice, or even a single instant, that holds much of the
+table is spread over many tasks, and no rows are stored on the way.
+
+Inside, a row is its slice `s`, its order `o` (time and keys) and its record `r`, so no
+column of the table can clash with a helper.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronoferry.config import DEFAULT_BATCH_SIZE, fresh_folder
+from chronoferry.config import DEFAULT_BATCH_SIZE, use_checkpoints
 from chronoferry.functions.columns import named, time_value
-from chronoferry.functions.timestamps import epoch_ms
+from chronoferry.functions.timestamps import epoch_ms, epoch_us
 from chronoferry.operators.progress import slice_totals
 from chronoferry.operators.ranges import TimeRange, in_range
-from chronoferry.operators.slices import whole_div, with_slice
+from chronoferry.operators.slices import slice_of, whole_div
 
-# A page is looked for in this many time slices first.
+# A page is looked for in this many time slices, and in as many of the slices found, and so on.
 FETCH_SLICES = 1000
 
-# Up to this many rows in the slices of a page are sorted by a plain ORDER BY ... LIMIT.
-DIRECT_FETCH_ROWS = 100_000
+# Groups for each shuffle partition; several even out what the sample misjudges.
+GROUPS_PER_PARTITION = 4
 
-# Rows that one task sorts at most, as far as the sampled boundaries are even.
-ROWS_PER_TASK = 2_000_000
+# A group is not made smaller than this: it is what one task sorts without effort.
+GROUP_ROWS = 50_000
 
-# monotonically_increasing_id keeps the partition number above this many bits.
-_POSITION_BITS = 33
+# Sampled rows for each group.
+SAMPLE_PER_GROUP = 30
 
 
 def fetch_page(
-    df: DataFrame,
-    rng: TimeRange | None,
-    ts_col: str,
-    keys: list[str],
-    limit: int,
-    offset: int,
-    direct_rows: int = DIRECT_FETCH_ROWS,
+    df: DataFrame, rng: TimeRange | None, ts_col: str, keys: list[str], limit: int, offset: int
 ) -> DataFrame:
-    """Rows `offset` to `offset + limit - 1` of the range in `(time, keys)` order.
+    """Rows `offset` to `offset + limit - 1` of the range in `(time, keys)` order, all columns.
 
     `ORDER BY ... LIMIT` over the whole range would send `offset + limit` rows of
-    every task to a single one. So rows are counted per time slice first, from the
-    time column alone; only the slices that the page touches are then read and
-    sorted, by a plain top-k if they hold few rows and by numbering otherwise.
+    every task to a single one. So rows are counted per time slice, from the time column
+    alone, and the slices that the page touches are cut again until they get no
+    narrower. The times and keys of that stretch are numbered, and the rows of the
+    page are read by them.
     """
-    found = None if rng is None else _slices_of_page(df, rng, ts_col, limit, offset)
-    if found is None:
+    before = held = 0
+    stretch = rng
+    while stretch is not None:
+        found = _slices_of_page(df, stretch, ts_col, limit, offset - before)
+        if found is None:
+            stretch = None
+            break
+        narrower, ahead, held = found
+        before += ahead
+        if narrower == stretch or held < 2 * limit:
+            stretch = narrower
+            break
+        stretch = narrower
+    if stretch is None:
         return in_range(df, None, ts_col)
-    part, before, held = found
-    rows = in_range(df, part, ts_col)
-    if held <= direct_rows:
-        return rows.orderBy(time_value(df, ts_col), *(named(k) for k in keys)).offset(offset - before).limit(limit)
-    numbered = _number(rows.withColumn("part_id", F.lit(0).cast("bigint")), ts_col, keys)
-    wanted = numbered.where((F.col("rn") >= offset - before) & (F.col("rn") < offset - before + limit))
-    return wanted.select(*(named(c) for c in df.columns))
+    numbered = _numbered(_rows(df, stretch, ts_col, keys, 1), _sampled_guide(_rows(df, stretch, ts_col, keys, 1), held))
+    page = numbered.where((F.col("rn") >= offset - before) & (F.col("rn") < offset - before + limit)).select("o")
+    rows = _rows(df, stretch, ts_col, keys, 1, record=True)
+    return rows.join(page, rows["o"].eqNullSafe(page["o"]), "left_semi").select("r.*")
 
 
 def _slices_of_page(
@@ -80,8 +95,13 @@ def number_rows(
     df: DataFrame, rng: TimeRange | None, ts_col: str, keys: list[str], num_slices: int, batch_size: int
 ) -> DataFrame:
     """Rows of the range with `part_id`, `rn` (from 0 in every slice) and `page_no`."""
-    numbered = _number(with_slice(df, rng, ts_col, num_slices), ts_col, keys)
-    return numbered.withColumn("page_no", whole_div(F.col("rn"), batch_size))
+    added = {"part_id": F.col("s"), "rn": F.col("rn"), "page_no": whole_div(F.col("rn"), batch_size)}
+    taken = sorted(added.keys() & set(df.columns))
+    if taken:
+        raise ValueError(f"the table already has columns named {taken}; page_batches keeps records apart from them")
+    guide = _sampled_guide(_rows(df, rng, ts_col, keys, num_slices))
+    numbered = _numbered(_rows(df, rng, ts_col, keys, num_slices, record=True), guide)
+    return numbered.select("r.*", *(value.alias(name) for name, value in added.items()))
 
 
 def page_index(
@@ -93,12 +113,11 @@ def page_index(
     batch_size: int = DEFAULT_BATCH_SIZE,
 ) -> DataFrame:
     """`part_id, page_no, n, first_ms, last_ms` of every page; only time and keys are read."""
-    keys = _required(keys)
-    narrow = df.select(named(ts_col), *(named(k) for k in keys if k != ts_col))
-    ms = epoch_ms(time_value(df, ts_col))
+    narrow = _rows(df, rng, ts_col, _required(keys), num_slices)
+    ms = epoch_ms(F.col("o.t"))
     return (
-        number_rows(narrow, rng, ts_col, keys, num_slices, batch_size)
-        .groupBy("part_id", "page_no")
+        _numbered(narrow, _sampled_guide(narrow))
+        .groupBy(F.col("s").alias("part_id"), whole_div(F.col("rn"), batch_size).alias("page_no"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(ms).alias("first_ms"), F.max(ms).alias("last_ms"))
     )
 
@@ -113,15 +132,20 @@ def page_batches(
 ) -> DataFrame:
     """`part_id, page_no, batch`: the records of each page as one ordered array of structs.
 
-    An array never holds more than `batch_size` records.
+    An array never holds more than `batch_size` records. Times and keys are numbered first, so that
+    groups can begin where pages do; whole rows then move once, to the task of their group, which
+    numbers them and builds its pages.
     """
-    record = F.struct(*(named(c) for c in df.columns))
-    numbered = number_rows(df, rng, ts_col, _required(keys), num_slices, batch_size)
+    keys = _required(keys)
+    narrow = _rows(df, rng, ts_col, keys, num_slices)
+    total = narrow.count()
+    size = max(1, -(-total // (_groups(df, total) * batch_size))) * batch_size
+    guide = _page_guide(_numbered(narrow, _sampled_guide(narrow, total)), size, max(1, -(-total // size)))
+    numbered = _numbered(_rows(df, rng, ts_col, keys, num_slices, record=True), guide)
     return (
-        numbered.select("part_id", "page_no", "rn", record.alias("record"))
-        .groupBy("part_id", "page_no")
-        .agg(F.array_sort(F.collect_list(F.struct("rn", "record"))).alias("numbered"))
-        .select("part_id", "page_no", F.transform("numbered", lambda x: x["record"]).alias("batch"))
+        numbered.groupBy("s", "g", whole_div(F.col("rn"), batch_size).alias("page_no"))
+        .agg(F.array_sort(F.collect_list(F.struct("rn", "r"))).alias("numbered"))
+        .select(F.col("s").alias("part_id"), "page_no", F.transform("numbered", lambda x: x["r"]).alias("batch"))
     )
 
 
@@ -130,46 +154,92 @@ def explode_batches(batches: DataFrame) -> DataFrame:
     return batches.select(F.inline("batch"))
 
 
-def _number(sliced: DataFrame, ts_col: str, keys: list[str]) -> DataFrame:
-    """Add `rn`, the position of a row in its slice, without a task per slice.
+def _rows(
+    df: DataFrame, rng: TimeRange | None, ts_col: str, keys: list[str], num_slices: int, record: bool = False
+) -> DataFrame:
+    """Rows of the range as slice, order and, if asked, record."""
+    ts = time_value(df, ts_col)
+    part = F.lit(0) if rng is None else slice_of(epoch_us(ts), rng, num_slices)
+    order = F.struct(ts.alias("t"), *(named(k).alias(f"k{i}") for i, k in enumerate(keys)))
+    records = [F.struct(*(named(c) for c in df.columns)).alias("r")] if record else []
+    return in_range(df, rng, ts_col).select(part.cast("bigint").alias("s"), order.alias("o"), *records)
 
-    A window over a slice would sort the slice in one task. Here the rows are
-    range-partitioned on `(slice, time, keys)`, so a slice, or even a single
-    instant, that holds much of the table is spread over many tasks. Every row
-    then knows its position in its partition; what is missing is the number of
-    rows of the same slice in earlier partitions. The sorted rows are stored,
-    because sampling the boundaries anew would give other partitions, and one
-    narrow pass over the stored table counts each (partition, slice) run.
 
-    Slices are contiguous in that order, so there are at most partitions + slices
-    runs: the joined side is bounded by the plan and not by the data. The stored
-    table stays in the work folder, since the result reads it.
+def _groups(df: DataFrame, total: int) -> int:
+    most = GROUPS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(most, -(-total // GROUP_ROWS)))
+
+
+@dataclass(frozen=True)
+class _Guide:
+    """Groups of every slice: `s, bounds, starts`, one row per slice.
+
+    `bounds` are the orders at which a next group begins, `starts` the groups that have rows, each with the
+    rows in front of it. There are about as many as groups are wanted. Looking up takes `depth` steps; what
+    would need more of them stays in the last group that they reach.
     """
-    spark = sliced.sparkSession
-    order = [F.col("part_id"), time_value(sliced, ts_col), *(named(k) for k in keys)]
-    path = fresh_folder(spark, "numbered")
-    (
-        sliced.repartitionByRange(*_task_count(sliced), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_pos", F.monotonically_increasing_id())
-        .write.parquet(path)
+
+    table: DataFrame
+    depth: int
+
+
+def _sampled_guide(narrow: DataFrame, total: int | None = None) -> _Guide | None:
+    """Groups of about equal size, by a sample with SAMPLE_PER_GROUP rows for each; none where a slice is one group."""
+    total = narrow.count() if total is None else total
+    wanted = _groups(narrow, total)
+    if wanted == 1:
+        return None
+    use_checkpoints(narrow.sparkSession)
+    rate = max(1, total // (wanted * SAMPLE_PER_GROUP))
+    sample = narrow.where(F.pmod(F.xxhash64("o"), F.lit(rate)) == 0)
+    thinned = F.filter(
+        F.sort_array(F.collect_list("o")), lambda _, i: i % SAMPLE_PER_GROUP == SAMPLE_PER_GROUP - 1
     )
-    stored = spark.read.parquet(path).withColumn("_run", F.shiftright("_pos", _POSITION_BITS))
-    runs = stored.groupBy("part_id", "_run").agg(F.min("_pos").alias("first_pos"), F.count(F.lit(1)).alias("size"))
-    earlier = Window.partitionBy("part_id").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("size").over(earlier), F.lit(0).cast("bigint"))
-    shifts = runs.select("part_id", "_run", (before - F.col("first_pos")).alias("_shift"))
-    return (
-        stored.join(F.broadcast(shifts), ["part_id", "_run"])
-        .withColumn("rn", F.col("_pos") + F.col("_shift"))
-        .select(*(named(c) for c in sliced.columns), "rn")
+    bounds = sample.groupBy("s").agg(thinned.alias("bounds")).checkpoint()
+    depth = (2 * wanted).bit_length()
+    counts = _grouped(narrow.select("s", "o"), _Guide(bounds, depth)).groupBy("s", "g").agg(F.count(F.lit(1)).alias("n"))
+    front = F.sum("n").over(Window.partitionBy("s").orderBy("g")) - F.col("n")
+    starts = counts.select("s", "g", front.alias("front")).groupBy("s").agg(
+        F.sort_array(F.collect_list(F.struct("g", "front"))).alias("starts")
     )
-
-
-def _task_count(rows: DataFrame) -> tuple[int, ...]:
-    """A partition count that grows with the rows, where the session's setting is too low for them."""
-    needed = -(-rows.count() // ROWS_PER_TASK)
-    return (needed,) if needed > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) else ()
+    return _Guide(starts.join(bounds, "s", "left").select("s", "bounds", "starts").checkpoint(), depth)
+
+
+def _page_guide(numbered: DataFrame, size: int, wanted: int) -> _Guide | None:
+    """Groups of exactly `size` rows: `wanted` of them, if all are in one slice."""
+    if wanted == 1:
+        return None
+    first = numbered.where((F.col("rn") % size == 0) & (F.col("rn") > 0))
+    bounds = first.groupBy("s").agg(F.sort_array(F.collect_list("o")).alias("bounds"))
+    every = F.sequence(F.lit(0), F.size("bounds"))
+    starts = F.transform(every, lambda g: F.struct(g.alias("g"), (g.cast("bigint") * size).alias("front")))
+    return _Guide(bounds.select("s", "bounds", starts.alias("starts")).checkpoint(), wanted.bit_length())
+
+
+def _grouped(rows: DataFrame, guide: _Guide | None) -> DataFrame:
+    """Rows with the number `g` of their group in their slice: how many bounds they have reached."""
+    if guide is None:
+        return rows.withColumn("g", F.lit(0))
+    # One row per slice and about one bound per group: bounded by the session's settings.
+    found = rows.join(F.broadcast(guide.table), "s", "left").withColumn("g", F.lit(0))
+    for step in (1 << k for k in reversed(range(guide.depth))):
+        # Beyond the last bound there is NULL, which is not reached.
+        reached = F.get("bounds", F.col("g") + (step - 1)) <= F.col("o")
+        found = found.withColumn("g", F.when(reached, F.col("g") + step).otherwise(F.col("g")))
+    return found.drop("bounds")
+
+
+def _numbered(rows: DataFrame, guide: _Guide | None) -> DataFrame:
+    """Rows with `g` and with `rn`, their number in their slice; they move once, to the task of their group."""
+    start = F.lit(0).cast("bigint")
+    if guide is not None:
+        # The first group has no rows if its slice begins with a bound; no other is empty.
+        start = F.coalesce(F.get("starts", F.col("g") - F.col("starts")[0]["g"])["front"], start)
+    placed = _grouped(rows, guide).select(*rows.columns, "g", start.alias("start"))
+    # By its members and not as a struct, whose comparison takes longer.
+    order = (f"o.{name}" for name in rows.schema["o"].dataType.fieldNames())
+    place = F.row_number().over(Window.partitionBy("s", "g").orderBy(*order)) - 1
+    return placed.withColumn("rn", F.col("start") + place).drop("start")
 
 
 def _required(keys: list[str] | None) -> list[str]:

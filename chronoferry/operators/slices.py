@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronoferry.functions.columns import time_value
+from chronoferry.functions.columns import check_time_column, named, time_value
 from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.ranges import TimeRange, in_range
 
@@ -81,7 +81,9 @@ def with_slice(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_sli
 
 def slice_counts(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_slices: int = 8) -> DataFrame:
     """Rows per slice that has any: counted before the shuffle, at most one row per slice and task."""
-    return with_slice(df, rng, ts_col, num_slices).groupBy("part_id").agg(F.count(F.lit(1)).alias("n"))
+    check_time_column(df, ts_col)
+    times = df.select(named(ts_col))
+    return with_slice(times, rng, ts_col, num_slices).groupBy("part_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _grid(rng: TimeRange, num_slices: int) -> tuple[int, int]:

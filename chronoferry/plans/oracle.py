@@ -187,10 +187,10 @@ ORACLE: dict[str, str] = {
         FROM events WHERE ts >= TIMESTAMP '{q.WEEK_FROM}' AND ts < TIMESTAMP '{q.WEEK_UNTIL}'""",
     "full_scan": "SELECT * REPLACE (epoch_us(o_orderdate) AS o_orderdate) FROM orders",
     "page_fetch": f"""
-        SELECT {_ms("l_shipdate")} AS ts_ms, {_LINE_KEYS_BIG} FROM lineitem
+        SELECT {_ms("l_shipdate")} AS ts_ms, {_LINE_KEYS_BIG}, * EXCLUDE (l_shipdate, {_LINE_KEYS}) FROM lineitem
         ORDER BY l_shipdate, {_LINE_KEYS} LIMIT {q.FETCH_LIMIT} OFFSET {q.FETCH_OFFSET}""",
     "page_fetch_deep": f"""
-        SELECT {_ms("l_shipdate")} AS ts_ms, {_LINE_KEYS_BIG} FROM lineitem
+        SELECT {_ms("l_shipdate")} AS ts_ms, {_LINE_KEYS_BIG}, * EXCLUDE (l_shipdate, {_LINE_KEYS}) FROM lineitem
         ORDER BY l_shipdate, {_LINE_KEYS} LIMIT {q.DEEP_LIMIT} OFFSET {q.DEEP_OFFSET}""",
     "page_index": _page_index("events", "ts", "ts, event_id"),
     "page_index_ties": _page_index("lineitem", "l_shipdate", f"l_shipdate, {_LINE_KEYS}"),
@@ -201,6 +201,8 @@ ORACLE: dict[str, str] = {
                arg_min(event_id, ts) AS first_id, arg_max(event_id, ts) AS last_id,
                min({_ms("ts")}) AS first_ms, max({_ms("ts")}) AS last_ms
         FROM p GROUP BY part_id, page_no""",
+    "page_columns": f"""
+        SELECT {_ms("ts")} AS ts_ms, event_id AS rn, user_id AS _pos, event_type AS _run, value AS page_no FROM events""",
     "batch_explode": f"SELECT {_EVENT_POINTS} FROM events",
     "null_ts_filter": """
         SELECT CASE WHEN event_type = 'error' THEN 'reject' ELSE 'point' END AS outcome, count(*) AS n

@@ -161,8 +161,7 @@ def page_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def page_fetch_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Numbered as if the slices of the page held too many rows for a plain sort.
-    return _page(table(spark, sf_dir, "lineitem"), DEEP_LIMIT, DEEP_OFFSET, direct_rows=0)
+    return _page(table(spark, sf_dir, "lineitem"), DEEP_LIMIT, DEEP_OFFSET)
 
 
 @query
@@ -194,6 +193,18 @@ def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches of a table whose columns are named like what paging works with."""
+    events = table(spark, sf_dir, "events").select(
+        "ts", F.col("event_id").alias("rn"), F.col("user_id").alias("_pos"), F.col("event_type").alias("_run"),
+        F.col("value").alias("page_no"),
+    )
+    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["rn"], SLICES, PAGE_ROWS)
+    rows = paging.explode_batches(batches)
+    return rows.select(epoch_ms(F.col("ts")).alias("ts_ms"), "rn", "_pos", "_run", "page_no")
+
+
 @query
 def batch_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -481,11 +492,12 @@ def _point_columns(built: DataFrame, *extra: str) -> DataFrame:
     return built.select("measurement", "ts_ms", *structs, *extra)
 
 
-def _page(lineitem: DataFrame, limit: int, offset: int, **how: int) -> DataFrame:
+def _page(lineitem: DataFrame, limit: int, offset: int) -> DataFrame:
     rng = ranges.find_range(lineitem, "l_shipdate")
-    narrow = lineitem.select("l_shipdate", *LINE_KEYS)
-    page = paging.fetch_page(narrow, rng, "l_shipdate", LINE_KEYS, limit, offset, **how)
-    return page.select(epoch_ms(F.col("l_shipdate")).alias("ts_ms"), *(F.col(k).cast("bigint") for k in LINE_KEYS))
+    page = paging.fetch_page(lineitem, rng, "l_shipdate", LINE_KEYS, limit, offset)
+    others = [c for c in lineitem.columns if c not in ("l_shipdate", *LINE_KEYS)]
+    keys = (F.col(k).cast("bigint").alias(k) for k in LINE_KEYS)
+    return page.select(epoch_ms(F.col("l_shipdate")).alias("ts_ms"), *keys, *others)
 
 
 def _with_gaps(events: DataFrame) -> DataFrame:

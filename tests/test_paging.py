@@ -1,12 +1,23 @@
+import re
 from collections import Counter
 
 import pytest
 from conftest import instants, plan_of
 from pyspark.sql import functions as F
 
+from chronoferry.operators import paging
 from chronoferry.operators.paging import explode_batches, fetch_page, number_rows, page_batches, page_index
 from chronoferry.operators.ranges import find_range
 
+
+
+@pytest.fixture(autouse=True, params=[paging.GROUP_ROWS, 40])
+def group_rows(request, monkeypatch):
+    """Everything with slices of one group and with slices of many."""
+    monkeypatch.setattr(paging, "GROUP_ROWS", request.param)
+    return request.param
+
+
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 
@@ -36,7 +47,8 @@ def test_pages_by_hand(lineitem):
     assert {(r.part_id, r.page_no): (r.n, r.first_ms, r.last_ms) for r in index.collect()} == expected
 
 
-def test_one_instant_holding_all_rows_is_spread_over_tasks(spark):
+def test_one_instant_holding_all_rows_is_spread_over_tasks(spark, monkeypatch):
+    monkeypatch.setattr(paging, "GROUP_ROWS", 500)
     df = spark.range(0, 20_000, numPartitions=8).select(
         F.timestamp_seconds(F.lit(1_704_067_200)).alias("ts"), F.hash("id").alias("mix"), "id"
     )
@@ -45,9 +57,9 @@ def test_one_instant_holding_all_rows_is_spread_over_tasks(spark):
     assert len(index) == 200 and set(index.values()) == {100}
     runs = numbered.select(F.col("rn")).agg(F.min("rn"), F.max("rn"), F.countDistinct("rn")).first()
     assert tuple(runs) == (0, 19_999, 20_000)
-    stored = df.withColumn("part_id", F.lit(7)).repartitionByRange(8, "part_id", "ts", "mix", "id")
-    sizes = [r["count"] for r in stored.groupBy(F.spark_partition_id()).count().collect()]
-    assert max(sizes) < 20_000 / 4
+    narrow = paging._rows(df, find_range(df), "ts", ["mix", "id"], 8)
+    sizes = paging._grouped(narrow, paging._sampled_guide(narrow)).groupBy("s", "g").count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < 20_000 / 8
 
 
 def test_fetched_pages_by_hand(lineitem):
@@ -55,21 +67,20 @@ def test_fetched_pages_by_hand(lineitem):
     rng = find_range(lineitem, "l_shipdate")
     rows = sorted(map(tuple, narrow.collect()))
     for offset in (0, 777, len(rows) - 70, len(rows)):
-        for direct_rows in (100_000, 0):
-            page = fetch_page(narrow, rng, "l_shipdate", KEYS, 150, offset, direct_rows)
-            assert sorted(map(tuple, page.collect())) == rows[offset : offset + 150]
+        page = fetch_page(narrow, rng, "l_shipdate", KEYS, 150, offset)
+        assert sorted(map(tuple, page.collect())) == rows[offset : offset + 150]
 
 
 def test_a_page_reads_only_its_slices(lineitem):
     rng = find_range(lineitem, "l_shipdate")
     page = fetch_page(lineitem, rng, "l_shipdate", KEYS, 10, 5_000)
     plan = plan_of(page)
-    assert "TakeOrderedAndProject" in plan and "LessThan(l_shipdate" in plan
+    assert "LessThan(l_shipdate" in plan and page.columns == lineitem.columns
 
 
 def test_page_of_an_instant_that_holds_everything(spark):
     df = spark.range(1_000).select(F.timestamp_seconds(F.lit(0)).alias("ts"), "id")
-    page = fetch_page(df, find_range(df), "ts", ["id"], 10, 500, direct_rows=100)
+    page = fetch_page(df, find_range(df), "ts", ["id"], 10, 500)
     assert sorted(r.id for r in page.collect()) == list(range(500, 510))
 
 
@@ -84,6 +95,24 @@ def test_batches_hold_ordered_records_and_explode_to_the_scan(events):
     assert again.exceptAll(events).count() == 0 and again.count() == events.count()
 
 
+def test_columns_named_like_helpers_are_left_alone(spark):
+    names = ["rn", "_pos", "_run", "page_no", "part_id", "s", "o", "r", "g"]
+    df = spark.range(500).select(F.timestamp_seconds("id").alias("ts"), "id", *(F.lit(-k).alias(n) for k, n in enumerate(names)))
+    rng = find_range(df)
+    again = explode_batches(page_batches(df, rng, "ts", ["id"], 2, 30))
+    page = fetch_page(df, rng, "ts", ["id"], 20, 100)
+    for rows, n in ((again, 500), (page, 20)):
+        assert rows.columns == df.columns and rows.count() == n and rows.exceptAll(df).count() == 0
+    with pytest.raises(ValueError, match="page_no"):
+        number_rows(df, rng, "ts", ["id"], 2, 30)
+
+
+def test_whole_rows_move_once_for_batches(events):
+    plan = plan_of(page_batches(events, find_range(events), "ts", ["event_id"], 4, 30))
+    plan = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert len(re.findall(r"\bExchange ", plan)) == 1
+
+
 def test_keys_are_required(events):
     with pytest.raises(ValueError, match="keys"):
         page_index(events, find_range(events))
