@@ -173,7 +173,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ma
 
     All columns stay. Of several rows with that id in the group (repeated rows), one stays.
     """
-    seen = near_duplicates(docs, id_col, text_col, max_bits).where(F.col("id").eqNullSafe(F.col("component_id")))
+    return first_of_each(docs, near_duplicates(docs, id_col, text_col, max_bits), id_col, text_col)
+
+
+def first_of_each(docs: DataFrame, grouped: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of `docs` whose id is their group's component_id; `grouped` has id, text_hash, root and component_id."""
+    seen = grouped.where(F.col("id").eqNullSafe(F.col("component_id")))
     first = seen.groupBy("root", "component_id").agg(F.min("text_hash").alias("text_hash"))
     ident, text = (F.col(f"docs.{quoted(c)}") for c in (id_col, text_col))
     kept = docs.alias("docs").join(
