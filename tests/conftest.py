@@ -12,7 +12,7 @@ for folder in (TESTS, ROOT):
 # Python workers import the package and the test transports too.
 os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, TESTS, os.environ.get("PYTHONPATH")]))
 
-SMALL = "/root/testdata/sf0.001"
+from support import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -41,18 +41,3 @@ def events(spark):
 @pytest.fixture(scope="session")
 def lineitem(spark):
     return spark.read.parquet(f"{SMALL}/lineitem.parquet")
-
-
-def instants(spark, texts, **columns):
-    """A table with a time column `ts` from texts and further columns from lists."""
-    from pyspark.sql import functions as F
-
-    names = ["ts", *columns]
-    rows = list(zip(texts, *columns.values()))
-    kinds = ["string", *("double" if any(isinstance(v, float) for v in c) else "bigint" for c in columns.values())]
-    frame = spark.createDataFrame(rows, ", ".join(f"{n} {k}" for n, k in zip(names, kinds)))
-    return frame.withColumn("ts", F.col("ts").cast("timestamp"))
-
-
-def plan_of(frame) -> str:
-    return frame._jdf.queryExecution().executedPlan().toString()

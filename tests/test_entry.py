@@ -1,8 +1,8 @@
 """Every registered query against its SQL on the small tables."""
 
 import pytest
-from conftest import SMALL
 from oracle_check import compare, connect
+from support import SMALL
 
 import __spark_entry__ as entry
 

@@ -1,7 +1,7 @@
 """The JDBC path up to the connection; no database runs in the tests."""
 
 import pytest
-from conftest import instants
+from support import instants
 
 from chronoferry.operators.ranges import TimeRange, find_range
 from chronoferry.operators.slices import even_slices

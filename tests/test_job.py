@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from conftest import SMALL
+from support import SMALL
 from pyspark.sql import functions as F
 
 from chronoferry import job

@@ -3,7 +3,7 @@ import re
 
 from hypothesis import Phase, given, settings
 from hypothesis import strategies as st
-from conftest import plan_of
+from support import plan_of
 from pyspark.sql import functions as F
 
 from chronoferry.functions.line import escape_column, escape_text, parse_lines, to_lines

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import instants, plan_of
+from support import instants, plan_of
 from pyspark.sql import functions as F
 
 from chronoferry.operators.merge import merge_points

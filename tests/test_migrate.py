@@ -105,7 +105,7 @@ def test_work_folder_is_the_one_the_session_names(spark):
 
 
 def test_rejects_scan_only_row_groups_with_nulls(events):
-    from conftest import plan_of
+    from support import plan_of
 
     from chronoferry.operators.points import rejected_rows
 

@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 import pytest
-from conftest import instants, plan_of
+from support import instants, plan_of
 from pyspark.sql import functions as F
 
 from chronoferry.operators import paging

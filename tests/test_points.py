@@ -3,7 +3,7 @@ import json
 from decimal import Decimal
 
 import pytest
-from conftest import instants, plan_of
+from support import instants, plan_of
 
 from chronoferry.functions.line import to_lines
 from chronoferry.operators.points import (

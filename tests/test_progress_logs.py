@@ -1,6 +1,6 @@
 import os
 
-from conftest import instants, plan_of
+from support import instants, plan_of
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 

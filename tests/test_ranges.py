@@ -1,5 +1,5 @@
 import pytest
-from conftest import instants, plan_of
+from support import instants, plan_of
 from pyspark.sql import functions as F
 
 from chronoferry.operators.ranges import TimeRange, find_range, in_range, parse_bounds, range_frame

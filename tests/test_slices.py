@@ -65,7 +65,7 @@ def test_no_range_no_slices(spark):
 
 
 def test_counts_are_reduced_before_the_shuffle(lineitem):
-    from conftest import plan_of
+    from support import plan_of
 
     plan = plan_of(slice_counts(lineitem, TimeRange(0, 10**16), "l_shipdate", 8))
     assert "partial_count" in plan and plan.count("Exchange") == 1
