@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoferry.config import fresh_folder
-from chronoferry.llm import decontaminate, near_copies, pieces, quality
+from chronoferry.llm import decontaminate, pieces, quality, simhash
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,8 +21,9 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, similarity 0.8): the one with the smallest id."""
-    return near_copies.keep_one(docs)
+    """One document of each group of near-duplicates (fingerprints of four-word shingles, at most four
+    differing bits, as the SimHash operator has them): the one with the smallest id."""
+    return simhash.keep_one(docs)
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
