@@ -1,9 +1,8 @@
-import os
 import random
 
 import pytest
+from llm_support import SMALL
 
-SMALL = "/root/testdata/sf0.001"
 ODD = "doc_id long, text string, lang string, source string, n_chars long, score double, `a.b` string, row string, ids string"
 
 
@@ -31,11 +30,3 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def nothing(spark):
     return spark.createDataFrame([], ODD)
-
-
-def texts_of(frame):
-    return [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
-
-
-def data(name):
-    return os.path.join(SMALL, f"{name}.parquet")

@@ -6,10 +6,9 @@ import re
 import numpy as np
 import pytest
 import xxhash
-from conftest import SMALL
+from llm_support import SMALL
 
-import corpus_pipeline
-from chronoferry.llm import embeddings, near_copies, simhash
+from chronoferry.llm import embeddings, simhash
 from chronoferry.llm.common import components, forest
 
 
@@ -130,31 +129,3 @@ def test_embeddings_odd_rows(spark):
     linked = [(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (3, 4, 1, False), (12, 4, 1, False)]
     assert got == sorted(linked + [(k, 0, k, True) for k in (0, 4, 5, 6, 7, 8, 9, 10, 11)])
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
-
-
-def five_words(text):
-    words = (text or "").encode().lower().split()
-    return {tuple(words[k : k + 5]) for k in range(max(len(words) - 4, 1))} if words else set()
-
-
-@pytest.mark.parametrize("block", [1024, 3])
-def test_near_copies_of_five_words(spark, block):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    sets = {r.doc_id: five_words(r.text) for r in docs.collect()}
-    linked = [(a, b) for (a, x), (b, y) in itertools.combinations(sorted(sets.items()), 2)
-              if 5 * len(x & y) >= 4 * len(x | y)]
-    rows = near_copies.near_copies(docs, block=block).collect()
-    assert len(rows) == len(sets) and {r.id: r.component_id for r in rows} == classes(sets, linked)
-
-
-def test_pipeline_drops_near_copies_of_many_bits(spark):
-    """Documents 1 and 255 are alike by 0.83 and differ in 7 bits."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("doc_id in (1, 255)")
-    assert [r.doc_id for r in corpus_pipeline.distinct(spark, docs, "").collect()] == [1]
-
-
-def test_near_copies_odd_rows(odd, nothing):
-    kept = near_copies.keep_one(odd)
-    assert kept.columns == odd.columns
-    assert sorted(r.doc_id if r.doc_id is not None else -1 for r in kept.collect()) == [-1, 0, 2, 3, 4, 6, 7, 8]
-    assert near_copies.near_copies(nothing).count() == 0 and near_copies.keep_one(nothing).count() == 0

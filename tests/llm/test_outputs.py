@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import SMALL
+from llm_support import SMALL
 from sentencepiece import SentencePieceProcessor
 
 import __spark_entry__ as entry

@@ -11,7 +11,7 @@ from sentencepiece import SentencePieceProcessor
 
 from chronoferry.llm import decontaminate, language_model, licences, pieces, quality
 from chronoferry.llm.tokens import Tokenizer
-from conftest import SMALL
+from llm_support import SMALL
 
 
 def shingles(words):
