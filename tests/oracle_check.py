@@ -63,10 +63,10 @@ def main(sf_dir: str, only: list[str]) -> int:
             took = time.time() - began
             relation = connection.sql(oracle_sql()[name])
             problem = compare(rows, frame.columns, relation)
-            types = [(c, t) for c, t in frame.dtypes if t not in ("string", "bigint", "double", "boolean")]
+            types = [(c, t) for c, t in frame.dtypes if t not in ("string", "bigint", "int", "double", "boolean")]
             problem = problem or (f"types {types}" if types else None)
             wide = [(c, str(t)) for c, t in zip(relation.columns, relation.types)]
-            wide = [x for x in wide if x[1] not in ("VARCHAR", "BIGINT", "DOUBLE", "BOOLEAN")]
+            wide = [x for x in wide if x[1] not in ("VARCHAR", "BIGINT", "INTEGER", "DOUBLE", "BOOLEAN")]
             problem = problem or (f"SQL types {wide}" if wide else None)
         except Exception as failure:  # report and go on with the next query
             took, rows, problem = time.time() - began, [], str(failure)[:600]
