@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from chronoferry.config import fresh_folder
-from chronoferry.llm import decontaminate, embeddings, language_model, licences, pieces, quality, rollups, sharding, simhash, training_order
+from chronoferry.llm import (
+    byte_pairs,
+    decontaminate,
+    embeddings,
+    hard_negatives,
+    language_model,
+    licences,
+    periodic_runs,
+    pieces,
+    quality,
+    rollups,
+    sharding,
+    simhash,
+    training_order,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -97,6 +111,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.totals()
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of whole documents, a tenth of which has had repeats put in."""
+    docs = periodic_runs.with_repeats(_table(spark, sf_dir, "documents"))
+    return periodic_runs.digest(periodic_runs.runs(docs))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh vector has another label than its own."""
+    ident, label = F.col("vec_id"), F.col("label")
+    vectors = _table(spark, sf_dir, "embeddings")
+    vectors = vectors.withColumn("label", F.when(ident % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mine(vectors, ident % 100 == 0)
+
+
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pairs.digest(byte_pairs.coded(_table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embeddings": op1_embeddings,
     "op2_licences": op2_licences,
@@ -108,6 +140,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_training_order": op8_training_order,
     "op9_sharding": op9_sharding,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_byte_pairs": op13_byte_pairs,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -131,4 +166,26 @@ ORACLE: dict[str, str] = {
         SELECT e.vec_id, coalesce(n, 0) AS n_links, component_id, e.vec_id = component_id AS kept
         FROM embeddings e JOIN classes ON classes.a = e.vec_id LEFT JOIN counts ON counts.a = e.vec_id
     """,
+    "op12_hard_negatives": """
+        WITH usable AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+            FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        scores AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   list_dot_product(a.v, b.v)::BIGINT AS score
+            FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+        ),
+        positives AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+        )
+        SELECT anchor_id, positive_id, other_id AS negative_id, positive_score, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        QUALIFY rank <= 5
+    """,
 }
