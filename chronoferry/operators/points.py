@@ -82,12 +82,14 @@ def to_points(
     nested: str = "json",
     carry: tuple[str, ...] = (),
     ignore: tuple[str, ...] = (),
+    beside: dict[str, Column] | None = None,
 ) -> DataFrame:
     """`measurement, ts_ms, tags, fields` for every row with a time; narrow, no shuffle.
 
     `carry` passes source columns through as a `seq` struct, for ordering in a
-    later merge; `ignore` leaves columns out of tags and fields. NULLs stay NULL
-    members: they are absent from the point, and a row of NULLs is an empty point.
+    later merge; `ignore` leaves columns out of tags and fields; `beside` has values of the row that are
+    not part of the point, in a struct of that name, so that no column of the table is in their way.
+    NULLs stay NULL members: they are absent from the point, and a row of NULLs is an empty point.
     """
     layout = layout_of(df, ts_col, decimal, ignore)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -103,6 +105,8 @@ def to_points(
         columns.append(members(layout.fields).alias("fields"))
     if carry:
         columns.append(F.struct(*(named(c) for c in carry)).alias("seq"))
+    if beside:
+        columns.append(F.struct(*(value.alias(name) for name, value in beside.items())).alias("beside"))
     return with_time(df, ts_col).select(*columns)
 
 

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronoferry.config import DEFAULT_BATCH_SIZE, MILESTONE_BATCHES
-from chronoferry.functions.columns import time_value
-from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.ranges import TimeRange
-from chronoferry.operators.slices import slice_counts, slice_of, time_slices, whole_div
+from chronoferry.operators.slices import slice_counts, time_slices, whole_div
 
 # Milestones are generated in blocks of this many, so no array grows with the data.
 _BLOCK = 1000
@@ -19,8 +17,8 @@ def slice_totals(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_s
     """`part_id, lo_us, hi_us, total` for every slice, empty ones included."""
     counts = slice_counts(df, rng, ts_col, num_slices)
     slices = time_slices(df.sparkSession, rng, num_slices)
-    # Both sides have one row per slice.
-    return slices.join(F.broadcast(counts), "part_id", "left").select(
+    # Both sides have one row per slice; Spark picks the join.
+    return slices.join(counts, "part_id", "left").select(
         "part_id", "lo_us", "hi_us", F.coalesce("n", F.lit(0).cast("bigint")).alias("total")
     )
 
@@ -39,28 +37,14 @@ def milestones(totals: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE) -> DataF
     )
 
 
-def observe_slices(
-    rows: DataFrame, observation: Observation, rng: TimeRange, ts_col: str, num_slices: int
-) -> DataFrame:
-    """Count the rows of each slice while they pass, in the same job as the copy."""
-    part = slice_of(epoch_us(time_value(rows, ts_col)), rng, num_slices)
-    return rows.observe(observation, *slice_metrics(part, num_slices))
+def slice_sizes(df: DataFrame, rng: TimeRange, ts_col: str = "ts", num_slices: int = 8) -> dict[int, int]:
+    """The rows of every slice, empty ones included: `num_slices` numbers, whatever the size of the table.
 
-
-def slice_metrics(part: Column, num_slices: int) -> list[Column]:
-    """Aggregates `read` and `slices`, which `counts_of` reads.
-
-    A histogram with as many bins as there are slices has a bin for each slice, and so counts exactly.
+    One narrow pass over the time column. Counts per task are summed after a shuffle, as any query result, so
+    a task that runs again or twice changes nothing.
     """
-    return [F.count(F.lit(1)).alias("read"), F.histogram_numeric(part, F.lit(max(num_slices, 2))).alias("slices")]
-
-
-def counts_of(observed: dict, num_slices: int) -> dict[int, int]:
-    """The rows of every slice, empty ones included, as observed by `slice_metrics`."""
-    counts = dict.fromkeys(range(num_slices), 0)
-    for bin_ in observed["slices"] or []:
-        counts[int(bin_["x"])] += int(bin_["y"])
-    return counts
+    counted = slice_counts(df, rng, ts_col, num_slices).collect()
+    return dict.fromkeys(range(num_slices), 0) | {row["part_id"]: row["n"] for row in counted}
 
 
 def _one() -> Column:

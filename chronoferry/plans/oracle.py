@@ -145,8 +145,6 @@ _LOG_LINES = f"""
         ELSE 'INFO Processed ' || pos || ' records from time partition ' || lo || ' to ' || hi END AS value
       FROM l)"""
 
-_MERGED_FIELDS = [c for c in _LINEITEM_FIELDS if c[1] not in ("l_extendedprice", "l_tax")]
-
 # The queries ----------------------------------------------------------------
 
 ORACLE: dict[str, str] = {
@@ -269,9 +267,9 @@ ORACLE: dict[str, str] = {
     "migrate_merged": _line(
         "lineitem",
         [_tag("l_linestatus", "l_linestatus"), _tag("l_returnflag", "l_returnflag")],
-        _line_fields(_MERGED_FIELDS),
+        _line_fields(_LINEITEM_FIELDS),
         "ts_ms",
-        f"({_merged('lineitem', _MERGED_FIELDS)})",
+        f"({_merged('lineitem', _LINEITEM_FIELDS)})",
     ),
     "migration_slices": f"""
         WITH {_sliced("lineitem", "l_shipdate", q.MANY_SLICES)}
@@ -282,11 +280,9 @@ ORACLE: dict[str, str] = {
         WITH kept AS (SELECT * FROM lineitem WHERE l_returnflag <> 'R'),
         {_sliced("kept", "l_shipdate")},
         m AS (SELECT count(*) AS written FROM (SELECT DISTINCT l_returnflag, l_linestatus, l_shipdate FROM kept))
-        SELECT count(*) AS read, any_value(written) AS written, count(*) - any_value(written) AS merged,
-               (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected,
-               count(*) FILTER (WHERE part_id = 0) AS first_slice,
-               count(*) FILTER (WHERE part_id = {q.SLICES - 1}) AS last_slice
-        FROM s CROSS JOIN m""",
+        SELECT (SELECT count(*) FROM kept) AS read, written, (SELECT count(*) FROM kept) - written AS merged,
+               (SELECT count(*) FROM lineitem WHERE l_returnflag = 'R') AS rejected, i AS part_id, count(s.part_id) AS n
+        FROM m CROSS JOIN range({q.SLICES}) AS n(i) LEFT JOIN s ON s.part_id = i GROUP BY written, i""",
     "progress_totals": f"""
         WITH {_sliced("lineitem", "l_shipdate")}, {_edges()}
         SELECT e.part_id, lo_us, hi_us, count(s.part_id) AS total

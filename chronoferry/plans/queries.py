@@ -31,6 +31,7 @@ WEEK_FROM = "2024-01-08 00:00:00.000"
 WEEK_UNTIL = "2024-01-15 00:00:00.000"
 AFTER_ALL = "2031-01-01 00:00:00.000"
 MANY_SLICES = 300
+INPUT_FILES = 16
 UNREADABLE = "sometime in January"
 FETCH_LIMIT, FETCH_OFFSET = 500, 10_000
 DEEP_LIMIT, DEEP_OFFSET = 2000, 50_000
@@ -382,16 +383,16 @@ def migrate_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def migrate_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_folder(spark, "migrated")
-    lineitem = table(spark, sf_dir, "lineitem").drop("l_extendedprice", "l_tax")
     options = MoveOptions("lineitem", ts_col="l_shipdate", merge_by=tuple(LINE_KEYS))
-    migrate(lineitem, line_files(path), options)
+    migrate(table(spark, sf_dir, "lineitem"), line_files(path), options)
     return read_files(spark, path, "text", "line string")
 
 
 @query
 def migration_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of every one of many slices, as the reports of a plain and of a merging job have them."""
-    lineitem = table(spark, sf_dir, "lineitem")
+    """Rows of every one of many slices, as the reports of a plain and of a merging job have them, when
+    many tasks hold rows of the same slices."""
+    lineitem = _in_files(table(spark, sf_dir, "lineitem"), "lineitem")
     rows = []
     for merge_by in ((), tuple(LINE_KEYS)):
         options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=MANY_SLICES, merge_by=merge_by)
@@ -402,7 +403,7 @@ def migration_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = table(spark, sf_dir, "lineitem").withColumn(
+    lineitem = _in_files(table(spark, sf_dir, "lineitem"), "lineitem").withColumn(
         "l_shipdate", F.when(F.col("l_returnflag") != "R", F.col("l_shipdate"))
     )
     options = MoveOptions("lineitem", ts_col="l_shipdate", merge_by=tuple(LINE_KEYS))
@@ -412,9 +413,10 @@ def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         options,
         rejects=lambda rows: rows.write.parquet(fresh_folder(spark, "rejected")),
     )
-    row = [report.read, report.written, report.merged, report.rejected, report.slices[0], report.slices[SLICES - 1]]
+    totals = (report.read, report.written, report.merged, report.rejected)
     return spark.createDataFrame(
-        [row], "read bigint, written bigint, merged bigint, rejected bigint, first_slice bigint, last_slice bigint"
+        [(*totals, *held) for held in report.slices.items()],
+        "read bigint, written bigint, merged bigint, rejected bigint, part_id bigint, n bigint",
     )
 
 
@@ -492,6 +494,13 @@ def _point_columns(built: DataFrame, *extra: str) -> DataFrame:
     return built.select("measurement", "ts_ms", *structs, *extra)
 
 
+def _in_files(rows: DataFrame, label: str, files: int = INPUT_FILES) -> DataFrame:
+    """The same rows out of several files, each of which has rows of all times."""
+    path = fresh_folder(rows.sparkSession, label)
+    rows.repartition(files).write.parquet(path)
+    return read_files(rows.sparkSession, path)
+
+
 def _page(lineitem: DataFrame, limit: int, offset: int) -> DataFrame:
     rng = ranges.find_range(lineitem, "l_shipdate")
     page = paging.fetch_page(lineitem, rng, "l_shipdate", LINE_KEYS, limit, offset)

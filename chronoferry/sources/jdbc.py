@@ -7,20 +7,24 @@ once, on behalf of the driver.
 
 `partitionColumn`/`lowerBound`/`upperBound` would set strides but not restrict
 the rows, which is why predicates are used.
+
+Names and instants are written as Spark's own dialect for the address writes them.
 """
 
 from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoferry.config import DEFAULT_BATCH_SIZE, DEFAULT_SLICES, DEFAULT_TIME_COLUMN
+from chronoferry.functions.columns import named
 from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.ranges import TimeRange, parse_bounds
-from chronoferry.operators.slices import even_slices, time_slices
+from chronoferry.operators.slices import even_slices, slice_ranges
 from chronoferry.sources.endpoint import native_url
 
 # For even slices: how much finer the counted slices are, and how many one statement counts.
@@ -33,7 +37,8 @@ _TABLE = re.compile(rf"{_NAME}(\.{_NAME}){{0,2}}")
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Where a table lives. `quote` and `literal` follow the SQL dialect of the database."""
+    """Where a table lives. `quote` (the sign around a name) and `literal` (with `{}` for the text of an
+    instant) are for databases that Spark's dialects don't fit; without them the dialect of the address holds."""
 
     url: str
     table: str
@@ -43,8 +48,8 @@ class JdbcSource:
     ts_col: str = DEFAULT_TIME_COLUMN
     fetch_size: int = DEFAULT_BATCH_SIZE
     custom_schema: str | None = None
-    quote: str = '"'
-    literal: str = "TIMESTAMP '{}'"
+    quote: str | None = None
+    literal: str | None = None
     options: dict[str, str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -54,10 +59,6 @@ class JdbcSource:
         if self.quote and self.quote in self.ts_col:
             raise ValueError(f"not a column name: {self.ts_col!r}")
 
-    @property
-    def time_name(self) -> str:
-        return f"{self.quote}{self.ts_col}{self.quote}"
-
     def properties(self) -> dict[str, str]:
         known = {
             "user": self.user,
@@ -70,17 +71,14 @@ class JdbcSource:
 
 
 def range_query(
-    spark: SparkSession, source: JdbcSource, start: str | None = None, end: str | None = None, lenient: bool = False
+    spark: SparkSession, source: JdbcSource, start_us: int | None = None, end_us: int | None = None
 ) -> str:
-    """The statement that finds the oldest and newest time between the readable bounds."""
-    start_us, end_us = parse_bounds(spark, start, end, lenient)
-    tests = [
-        f"{source.time_name} {op} {text}"
-        for op, text in zip((">=", "<"), _literals(spark, source, [start_us, end_us]))
-        if text is not None
-    ]
+    """The statement that finds the oldest and newest time between the bounds."""
+    name = quoted_name(spark, source, source.ts_col)
+    bounds = ((">=", start_us), ("<", end_us))
+    tests = [f"{name} {op} {instant_literal(spark, source, us)}" for op, us in bounds if us is not None]
     where = f" WHERE {' AND '.join(tests)}" if tests else ""
-    return f"SELECT MIN({source.time_name}) AS oldest, MAX({source.time_name}) AS newest FROM {source.table}{where}"
+    return f"SELECT MIN({name}) AS oldest, MAX({name}) AS newest FROM {source.table}{where}"
 
 
 def find_jdbc_range(
@@ -95,7 +93,7 @@ def find_jdbc_range(
     bounds = parse_bounds(spark, start, end, lenient)
     if None not in bounds:
         return TimeRange(*_cut(bounds, compat))
-    found = _load(spark, source, range_query(spark, source, start, end, lenient))
+    found = _load(spark, source, range_query(spark, source, *bounds))
     # Some databases return unquoted names in upper case, so the two columns are taken by place.
     oldest, newest = (epoch_us(F.col(c)) for c in found.columns)
     row = found.select(oldest.alias("lo_us"), newest.alias("last_us")).first()
@@ -105,59 +103,111 @@ def find_jdbc_range(
     return TimeRange(*_cut((row["lo_us"], hi_us), compat))
 
 
-def slice_predicates(
-    spark: SparkSession, source: JdbcSource, rng: TimeRange, num_slices: int = DEFAULT_SLICES
-) -> list[str]:
-    """One half-open condition per slice of equal width, without gap or overlap."""
-    slices = time_slices(spark, rng, num_slices).orderBy("part_id").collect()  # bounded by num_slices
-    return _conditions(spark, source, [TimeRange(s["lo_us"], s["hi_us"]) for s in slices])
+def slice_conditions(spark: SparkSession, source: JdbcSource, slices: list[TimeRange]) -> list[str]:
+    """One half-open condition per slice, without gap or overlap between neighbours."""
+    name = quoted_name(spark, source, source.ts_col)
+
+    def edge(us: int) -> str:
+        return instant_literal(spark, source, us)
 
+    return [f"{name} >= {edge(s.lo_us)} AND {name} < {edge(s.hi_us)}" for s in slices]
 
-def count_query(source: JdbcSource, conditions: list[str]) -> str:
-    """The statement that counts the rows under each condition, one row per condition."""
+
+def count_query(source: JdbcSource, conditions: list[str], first: int = 0) -> str:
+    """The statement that counts the rows under each condition, one row per condition, numbered from `first` on."""
     return " UNION ALL ".join(
-        f"SELECT {place} AS place, COUNT(*) AS held FROM {source.table} WHERE {condition}"
+        f"SELECT {first + place} AS place, COUNT(*) AS held FROM {source.table} WHERE {condition}"
         for place, condition in enumerate(conditions)
     )
 
 
-def even_predicates(
+def slice_rows(spark: SparkSession, source: JdbcSource, slices: list[TimeRange]) -> list[int]:
+    """The rows of each slice, counted by the database: one Spark job, whose tasks send a statement each."""
+    conditions = slice_conditions(spark, source, slices)
+    counts = [
+        _load(spark, source, count_query(source, conditions[first : first + COUNTS_PER_STATEMENT], first))
+        for first in range(0, len(conditions), COUNTS_PER_STATEMENT)
+    ]
+    held: dict[int, int] = {}
+    if counts:  # two numbers per slice
+        held = {int(place): int(rows) for place, rows in reduce(DataFrame.unionAll, counts).collect()}
+    return [held.get(place, 0) for place in range(len(slices))]
+
+
+def even_jdbc_slices(
     spark: SparkSession, source: JdbcSource, rng: TimeRange, num_slices: int = DEFAULT_SLICES
-) -> list[str]:
-    """Conditions of about `num_slices` slices with similar row counts.
+) -> list[TimeRange]:
+    """About `num_slices` slices with similar row counts.
 
-    The database counts the rows of `FINER` times as many slices of equal width, and
-    neighbours are joined. A dense stretch then fills many slices instead of one.
+    The database counts the rows of `FINER` times as many slices of equal width. Those with more than a slice's
+    share are cut as fine again and counted, and neighbours are joined: a dense stretch fills many slices.
     """
-    fine = time_slices(spark, rng, num_slices * FINER).orderBy("part_id").collect()  # bounded likewise
-    edges = [TimeRange(s["lo_us"], s["hi_us"]) for s in fine]
-    conditions = _conditions(spark, source, edges)
-    held: dict[int, int] = {}
-    for first in range(0, len(conditions), COUNTS_PER_STATEMENT):
-        counts = _load(spark, source, count_query(source, conditions[first : first + COUNTS_PER_STATEMENT]))
-        held.update({first + int(place): int(rows) for place, rows in counts.collect()})
-    counted = [(e.lo_us, e.hi_us, held.get(place, 0)) for place, e in enumerate(edges)]
-    return _conditions(spark, source, even_slices(counted, num_slices))
+    fine = slice_ranges(rng, num_slices * FINER)
+    rows = slice_rows(spark, source, fine)
+    share = -(-sum(rows) // num_slices)
+    dense = [k for k, held in enumerate(rows) if held > share and fine[k].hi_us - fine[k].lo_us > FINER * 1000]
+    if dense:
+        finer = {k: slice_ranges(fine[k], FINER) for k in dense}
+        counted = iter(slice_rows(spark, source, [s for k in dense for s in finer[k]]))
+        cut = {k: [(s, next(counted)) for s in finer[k]] for k in dense}
+        pairs = [pair for k, s in enumerate(fine) for pair in cut.get(k, [(s, rows[k])])]
+    else:
+        pairs = list(zip(fine, rows))
+    return even_slices([(s.lo_us, s.hi_us, held) for s, held in pairs], num_slices)
 
 
-def read_jdbc(
-    spark: SparkSession,
-    source: JdbcSource,
-    rng: TimeRange,
-    num_slices: int = DEFAULT_SLICES,
-    even: bool = False,
-) -> DataFrame:
-    """The rows of the range, one Spark partition per slice.
-
-    Slices have equal width in time, or with `even` about equal row counts, which
-    costs the database one counting pass and keeps a dense stretch out of one task.
-    """
-    cut = even_predicates if even else slice_predicates
+def read_jdbc(spark: SparkSession, source: JdbcSource, slices: list[TimeRange]) -> DataFrame:
+    """The rows of the slices, one Spark partition per slice."""
+    return _table(spark, source, slice_conditions(spark, source, slices))
+
+
+def read_untimed(spark: SparkSession, source: JdbcSource) -> DataFrame:
+    """The rows whose time is NULL, which no slice has."""
+    return _table(spark, source, [f"{quoted_name(spark, source, source.ts_col)} IS NULL"])
+
+
+def count_untimed(spark: SparkSession, source: JdbcSource) -> int:
+    """How many rows have no time, counted by the database."""
+    condition = f"{quoted_name(spark, source, source.ts_col)} IS NULL"
+    return int(_load(spark, source, count_query(source, [condition])).first()[1])
+
+
+def project(rows: DataFrame, columns: tuple[str, ...] | None) -> DataFrame:
+    """The named columns, or all; names are exact."""
+    return rows.select(*(named(c) for c in columns)) if columns else rows
+
+
+def quoted_name(spark: SparkSession, source: JdbcSource, name: str) -> str:
+    """A column's name as the database wants it."""
+    if source.quote is not None:
+        return f"{source.quote}{name}{source.quote}"
+    return _dialect(spark, source).quoteIdentifier(name)
+
+
+def instant_literal(spark: SparkSession, source: JdbcSource, us: int) -> str:
+    """An instant as the database wants it, as wall clock in the session zone."""
+    java = spark._jvm.java
+    moment = java.time.Instant.ofEpochSecond(us // 1_000_000, us % 1_000_000 * 1000)
+    zone = java.time.ZoneId.of(spark.conf.get("spark.sql.session.timeZone"))
+    clock = java.time.LocalDateTime.ofInstant(moment, zone)
+    if source.literal is not None:
+        return source.literal.format(_registry(spark).get("jdbc:").compileValue(clock).strip("'"))
+    text = _dialect(spark, source).compileValue(clock)
+    # A dialect with a form of its own has it for the older class only and leaves this one as it is.
+    return text if isinstance(text, str) else _dialect(spark, source).compileValue(java.sql.Timestamp.valueOf(clock))
+
+
+def _registry(spark: SparkSession):
+    return getattr(getattr(spark._jvm.org.apache.spark.sql.jdbc, "JdbcDialects$"), "MODULE$")
+
+
+def _dialect(spark: SparkSession, source: JdbcSource):
+    return _registry(spark).get(native_url(source.url))
+
+
+def _table(spark: SparkSession, source: JdbcSource, predicates: list[str]) -> DataFrame:
     table = spark.read.jdbc(
-        native_url(source.url),
-        source.table,
-        predicates=cut(spark, source, rng, num_slices),
-        properties=source.properties(),
+        native_url(source.url), source.table, predicates=predicates, properties=source.properties()
     )
     if source.ts_col not in table.columns:
         raise ValueError(f"no time column named exactly {source.ts_col!r} in {table.columns}")
@@ -169,21 +219,5 @@ def _load(spark: SparkSession, source: JdbcSource, statement: str) -> DataFrame:
     return reader.option("query", statement).load()
 
 
-def _conditions(spark: SparkSession, source: JdbcSource, slices: list[TimeRange]) -> list[str]:
-    edges = _literals(spark, source, [s.lo_us for s in slices] + [s.hi_us for s in slices])
-    return [
-        f"{source.time_name} >= {lo} AND {source.time_name} < {hi}"
-        for lo, hi in zip(edges[: len(slices)], edges[len(slices) :])
-    ]
-
-
 def _cut(bounds: tuple[int, int], compat: bool) -> tuple[int, int]:
     return tuple(us // 1000 * 1000 for us in bounds) if compat else bounds
-
-
-def _literals(spark: SparkSession, source: JdbcSource, instants: list[int | None]) -> list[str | None]:
-    """Instants as dialect literals in the session zone, in one driver-side evaluation."""
-    text = F.date_format(F.timestamp_micros(F.col("us")), "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    frame = spark.createDataFrame(list(enumerate(instants)), "place int, us bigint")
-    rows = frame.select("place", text.alias("text")).orderBy("place").collect()
-    return [None if r["text"] is None else source.literal.format(r["text"]) for r in rows]

@@ -4,10 +4,10 @@ import pytest
 from support import instants
 
 from chronoferry.operators.ranges import TimeRange, find_range
-from chronoferry.operators.slices import even_slices
+from chronoferry.operators.slices import even_slices, slice_ranges
 from chronoferry.sources import jdbc
 from chronoferry.sources.endpoint import native_url
-from chronoferry.sources.jdbc import JdbcSource, find_jdbc_range, range_query, slice_predicates
+from chronoferry.sources.jdbc import JdbcSource, find_jdbc_range, range_query, slice_conditions
 
 SOURCE = JdbcSource("jdbc:x://host/db", "db.sensors", user="u", password="p", fetch_size=500)
 
@@ -43,11 +43,29 @@ def test_table_names_are_checked(table):
 
 def test_range_statement(spark):
     assert range_query(spark, SOURCE) == 'SELECT MIN("ts") AS oldest, MAX("ts") AS newest FROM db.sensors'
-    assert range_query(spark, SOURCE, "2024-01-01 00:00:00", "'; DROP TABLE x", lenient=True).endswith(
-        """FROM db.sensors WHERE "ts" >= TIMESTAMP '2024-01-01 00:00:00.000000'"""
+    assert range_query(spark, SOURCE, 1_704_067_200_000_000).endswith(
+        """FROM db.sensors WHERE "ts" >= '2024-01-01 00:00:00'"""
     )
 
 
+@pytest.mark.parametrize(
+    "url, name, literal",
+    [
+        ("jdbc:TAOS-RS://h:6041/d", '"at`t""s"', "'2024-01-01 00:00:00.000123'"),
+        ("jdbc:mysql://h/d", '`at``t"s`', "'2024-01-01 00:00:00.000123'"),
+        ("jdbc:postgresql://h/d", '"at`t""s"', "'2024-01-01 00:00:00.000123'"),
+        ("jdbc:databricks://h", '`at``t"s`', "'2024-01-01 00:00:00.000123'"),
+        ("jdbc:oracle:thin:@h:1521/x", '"at`t""s"', "{ts '2024-01-01 00:00:00.000123'}"),
+    ],
+)
+def test_names_and_instants_follow_the_address(spark, url, name, literal):
+    source = JdbcSource(url, "t", ts_col='at`t"s')
+    lo = 1_704_067_200_000_123
+    later = literal.replace("00:00:00.000123", "01:00:00.000123")
+    assert slice_conditions(spark, source, [TimeRange(lo, lo + 3_600_000_000)]) == [f"{name} >= {literal} AND {name} < {later}"]
+    assert range_query(spark, source, None, lo) == f"SELECT MIN({name}) AS oldest, MAX({name}) AS newest FROM t WHERE {name} < {literal}"
+
+
 def test_explicit_range_needs_no_connection(spark):
     rng = find_jdbc_range(spark, SOURCE, "2024-01-01 00:00:00.0005", "2024-01-02 00:00:00")
     assert rng == TimeRange(1_704_067_200_000_500, 1_704_153_600_000_000)
@@ -56,7 +74,7 @@ def test_explicit_range_needs_no_connection(spark):
 
 def test_predicates_cut_a_table_into_disjoint_parts(spark, events):
     source = JdbcSource("jdbc:x://h/d", "t", quote="`")
-    predicates = slice_predicates(spark, source, find_range(events), 7)
+    predicates = slice_conditions(spark, source, slice_ranges(find_range(events), 7))
     counts = [events.where(p).count() for p in predicates]
     assert len(counts) == 7 and sum(counts) == events.count() and all(counts)
     assert events.where(" OR ".join(f"({p})" for p in predicates)).count() == events.count()
@@ -65,7 +83,7 @@ def test_predicates_cut_a_table_into_disjoint_parts(spark, events):
 def test_predicates_keep_microseconds_at_the_outer_edges(spark):
     df = instants(spark, ["2024-01-01 00:00:00.000123", "2024-01-01 00:00:00.000999"])
     source = JdbcSource("jdbc:x://h/d", "t", quote="`", literal="TIMESTAMP'{}'")
-    predicates = slice_predicates(spark, source, find_range(df), 4)
+    predicates = slice_conditions(spark, source, slice_ranges(find_range(df), 4))
     assert predicates[0].startswith("`ts` >= TIMESTAMP'2024-01-01 00:00:00.000123'")
     assert sum(df.where(p).count() for p in predicates) == 2
 
@@ -78,8 +96,9 @@ def test_even_slices_split_a_dense_stretch(spark, events, monkeypatch):
     source = JdbcSource("jdbc:x://h/d", "dense_rows", quote="`")
     monkeypatch.setattr(jdbc, "_load", lambda spark, source, statement: spark.sql(statement))
     rng = find_range(rows)
-    equal = [rows.where(p).count() for p in slice_predicates(spark, source, rng, 6)]
-    even = [rows.where(p).count() for p in jdbc.even_predicates(spark, source, rng, 6)]
+    slices = [slice_ranges(rng, 6), jdbc.even_jdbc_slices(spark, source, rng, 6)]
+    equal, even = ([rows.where(p).count() for p in slice_conditions(spark, source, s)] for s in slices)
+    assert [jdbc.slice_rows(spark, source, s) for s in slices] == [equal, even]
     assert sum(equal) == sum(even) == events.count()
     assert max(even) < max(equal)
 
@@ -95,9 +114,8 @@ def test_even_slices_leave_nothing_out():
 
 
 def test_unreadable_bounds_are_errors(spark):
-    for ask in (range_query, find_jdbc_range):
-        with pytest.raises(ValueError, match="start"):
-            ask(spark, SOURCE, "sometime", "2024-01-20")
+    with pytest.raises(ValueError, match="start"):
+        find_jdbc_range(spark, SOURCE, "sometime", "2024-01-20")
 
 
 def test_range_statement_gives_the_range(spark, events, monkeypatch):
@@ -108,3 +126,19 @@ def test_range_statement_gives_the_range(spark, events, monkeypatch):
         for compat in (False, True):
             assert find_jdbc_range(spark, source, *bounds, compat, True) == find_range(events, "ts", *bounds, compat, True)
     assert find_jdbc_range(spark, source, "2031-01-01 00:00:00") is None
+
+
+def test_counts_are_one_job(spark, events, monkeypatch):
+    events.createOrReplaceTempView("counted_events")
+    source = JdbcSource("jdbc:x://h/d", "counted_events", quote="`")
+    statements = []
+
+    def load(spark, source, statement):
+        statements.append(statement)
+        return spark.range(1).selectExpr("CAST(0 AS INT) AS place", "7L AS held").where(f"{len(statements)} = 1")
+
+    monkeypatch.setattr(jdbc, "_load", load)
+    spark.sparkContext.setJobGroup("counts", "counts")
+    assert jdbc.slice_rows(spark, source, slice_ranges(find_range(events), 300)) == [7, *[0] * 299]
+    assert len(statements) == 3 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts")) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -1,10 +1,10 @@
 import random
 
 import pytest
-from support import instants, plan_of
 from pyspark.sql import functions as F
+from support import instants, plan_of
 
-from chronoferry.operators.merge import merge_points
+from chronoferry.operators.merge import find_packing, merge_points
 from chronoferry.operators.points import to_points
 
 SECONDS = [f"2024-01-01 00:00:0{i}" for i in range(4)]
@@ -14,7 +14,9 @@ def built(df, *order):
     return to_points(df, "m", carry=order, ignore=order)
 
 
-@pytest.mark.parametrize("order", [("seq",), ("major", "minor")])
+@pytest.mark.parametrize(
+    "order", [("seq",), ("major", "minor"), ("word", "seq"), ("huge", "minor"), ("far", "minor"), ("day", "minor")]
+)
 def test_merge_by_hand(spark, order):
     rnd = random.Random(3)
     rows = [
@@ -22,8 +24,18 @@ def test_merge_by_hand(spark, order):
         for i in range(400)
     ]
     df = spark.createDataFrame(rows, "ts string, tag string, seq bigint, v double, n bigint")
-    df = df.selectExpr("*", "seq div 7 AS major", "CAST(seq % 7 AS INT) AS minor")
-    df = df.drop(*({"seq", "major", "minor"} - set(order)))
+    # The same order as whole numbers, text, numbers that need more than 64 and more than 126 bits, and dates
+    # or no date at all, which comes first.
+    df = df.selectExpr(
+        "*",
+        "seq div 7 AS major",
+        "CAST(seq % 7 AS INT) AS minor",
+        "lpad(seq div 7, 3, '0') AS word",
+        "(seq div 7 - 20) * 200000000000000000 AS huge",
+        "CASE WHEN seq < 200 THEN seq div 7 - 9223372036854775807 ELSE 9223372036854775000 + seq div 7 END AS far",
+        "CASE WHEN seq >= 7 THEN date_add(DATE'1969-12-20', CAST(seq div 7 AS INT)) END AS day",
+    )
+    df = df.drop(*({"seq", "major", "minor", "word", "huge", "far", "day"} - set(order)))
     expected = {}
     for ts, tag, _, v, n in rows:
         old = expected.get((ts, tag or None), (None, None, 0))
@@ -70,3 +82,32 @@ def test_points_without_tags(spark):
     df = instants(spark, [SECONDS[0], SECONDS[0]], seq=[1, 2], v=[1.0, 2.0])
     (row,) = merge_points(built(df, "seq")).collect()
     assert row.fields.v == 2.0
+
+
+def test_packed_orders_need_no_sort(spark, lineitem):
+    keys = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    points = to_points(lineitem, "m", "l_shipdate", carry=keys)
+    plan = plan_of(merge_points(points))
+    assert "Sort" not in plan and plan.count("Exchange") == 1
+    assert find_packing(to_points(lineitem, "m", "l_shipdate", carry=("l_orderkey", "l_returnflag"))) is None
+    assert find_packing(to_points(lineitem, "m", "l_shipdate", carry=("l_orderkey",))) is None
+
+
+def test_orders_beyond_any_number_are_compared_as_they_are(spark):
+    ends = [-(2**63), 2**63 - 1]
+    df = instants(spark, [SECONDS[0]] * 4, a=[ends[0], ends[0], ends[1], ends[1]], b=[ends[0], ends[1], ends[0], ends[1]],
+                  v=[1.0, 2.0, 3.0, 4.0])
+    points = built(df, "a", "b")
+    assert find_packing(points) is None
+    assert merge_points(points).first().fields.v == 4.0
+
+
+def test_an_empty_table_merges_to_nothing(spark):
+    df = spark.createDataFrame([], "ts timestamp, a bigint, b int, v double")
+    assert merge_points(built(df, "a", "b")).count() == 0
+
+
+def test_numbers_beside_points_are_added_up(spark):
+    df = instants(spark, [SECONDS[0], SECONDS[0], SECONDS[1]], seq=[1, 2, 3], v=[1.0, 2.0, 3.0])
+    points = to_points(df, "m", carry=("seq",), beside={"lost": F.col("seq") * 10})
+    assert sorted((r.merged_rows, r.beside.lost) for r in merge_points(points).collect()) == [(1, 30), (2, 30)]

@@ -3,14 +3,14 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from support import plan_of
 
 from chronoferry.config import MoveOptions, fresh_folder, work_folder
 from chronoferry.functions.line import to_lines
 from chronoferry.operators.points import to_points
-from chronoferry.operators.ranges import TimeRange
-from chronoferry.plans import migrate as plan
 from chronoferry.plans.migrate import MoveReport, migrate, migrate_jdbc
 from chronoferry.sinks import line_files
+from chronoferry.sources import jdbc
 from chronoferry.sources.jdbc import JdbcSource
 
 AT = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
@@ -78,18 +78,43 @@ def test_nothing_to_move(events):
     assert migrate(events, fail, MoveOptions("e", start="2031-01-01 00:00:00")) == MoveReport(None, rejected=0)
 
 
-def test_jdbc_job_with_a_stubbed_read(spark, events, tmp_path, monkeypatch):
-    source = JdbcSource("jdbc:x://h/d", "t")
+@pytest.mark.parametrize("even", [False, True])
+def test_jdbc_job_on_a_stubbed_connection(spark, events, tmp_path, monkeypatch, even):
+    """Statements and predicates are run by Spark on a view of that name."""
+    rows = events.withColumn("ts", F.when(F.col("event_id") % 10 != 3, F.col("ts")))
+    rows.createOrReplaceTempView("some_rows")
+    source = JdbcSource("jdbc:x://h/d", "some_rows", quote="`", literal="TIMESTAMP_NTZ'{}'")
     asked = []
 
-    def read(spark, source, rng, num_slices, even):
-        asked.append((rng, num_slices, even))
-        return events
+    def read(spark, source, predicates):
+        asked.append(predicates)
+        return spark.table(source.table).where(" OR ".join(f"({p})" for p in predicates))
 
-    monkeypatch.setattr(plan, "find_jdbc_range", lambda *a: TimeRange(0, 2 * 10**15))
-    monkeypatch.setattr(plan, "read_jdbc", read)
-    report = migrate_jdbc(spark, source, line_files(str(tmp_path / "out")), MoveOptions("e", num_slices=3))
-    assert asked == [(TimeRange(0, 2 * 10**15), 3, False)] and report.written == events.count()
+    monkeypatch.setattr(jdbc, "_table", read)
+    monkeypatch.setattr(jdbc, "_load", lambda spark, source, statement: spark.sql(statement))
+    without = rows.where("ts IS NULL").count()
+    kept = []
+    for rejects in (None, lambda refused: kept.extend(r.reason for r in refused.collect())):
+        options = MoveOptions("e", num_slices=3, even_slices=even)
+        report = migrate_jdbc(spark, source, line_files(str(tmp_path / f"out{rejects is None}")), options, rejects)
+        assert report.rejected == without and report.written == report.read == events.count() - without
+        assert sum(report.slices.values()) == report.read and all(report.slices.values())
+    assert kept == ["time is null"] * without
+    assert asked[1] == ["`ts` IS NULL"] and len(asked[0]) == len(report.slices)
+
+
+def test_columns_may_be_called_anything(spark, tmp_path):
+    df = spark.createDataFrame([(AT, 1, 7, 2.0)], "ts timestamp, __slice int, lost int, merged_rows double")
+    for merge_by in ((), ("lost",), ("lost", "__slice")):
+        out = str(tmp_path / f"out{len(merge_by)}")
+        migrate(df, line_files(out), MoveOptions("m", merge_by=merge_by))
+        assert spark.read.text(out).first().value == "m __slice=1i,lost=7i,merged_rows=2.0 1704067200000"
+
+
+def test_order_columns_need_not_be_copied(spark, tmp_path):
+    df = spark.createDataFrame([(AT, 1, 5, 1.0), (AT, 2, 4, 2.0)], "ts timestamp, a int, b int, v double")
+    migrate(df, line_files(str(tmp_path / "out")), MoveOptions("m", columns=("ts", "v"), merge_by=("b", "a")))
+    assert spark.read.text(str(tmp_path / "out")).first().value == "m v=1.0 1704067200000"
 
 
 def test_options_are_checked():
@@ -105,8 +130,6 @@ def test_work_folder_is_the_one_the_session_names(spark):
 
 
 def test_rejects_scan_only_row_groups_with_nulls(events):
-    from support import plan_of
-
     from chronoferry.operators.points import rejected_rows
 
     assert "PushedFilters: [IsNull(ts)]" in plan_of(rejected_rows(events))

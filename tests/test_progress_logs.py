@@ -1,12 +1,17 @@
+import datetime as dt
 import os
 
-from support import instants, plan_of
-from pyspark.sql import Observation
+import pytest
 from pyspark.sql import functions as F
+from support import instants, plan_of
 
+from chronoferry.config import MoveOptions
 from chronoferry.operators import logs
-from chronoferry.operators.progress import counts_of, milestones, observe_slices, slice_totals
-from chronoferry.operators.ranges import TimeRange, find_range
+from chronoferry.operators.progress import milestones, slice_sizes, slice_totals
+from chronoferry.operators.ranges import find_range
+from chronoferry.operators.slices import slice_ranges
+from chronoferry.plans.migrate import migrate
+from chronoferry.sinks import line_files
 
 LINES = [
     "INFO Processed 20000 records from time partition 2024-01-01 00:00:00.0 to 2024-01-02 00:00:00.0",
@@ -39,21 +44,22 @@ def test_milestones_by_hand(spark):
     assert got == [(k, n) for k, t in totals.items() for n in range(20, t + 1, 20)]
 
 
-def test_slices_are_counted_while_rows_pass(lineitem):
-    rng = find_range(lineitem, "l_shipdate")
-    seen = Observation()
-    observe_slices(lineitem, seen, rng, "l_shipdate", 5).write.format("noop").mode("overwrite").save()
-    counted = {r.part_id: r.total for r in slice_totals(lineitem, rng, "l_shipdate", 5).collect()}
-    assert seen.get["read"] == lineitem.count() and counts_of(seen.get, 5) == dict(counted)
-
-
-def test_many_slices_are_counted_inside(lineitem):
-    seen = Observation()
-    rng = find_range(lineitem, "l_shipdate")
-    rows = observe_slices(lineitem, seen, rng, "l_shipdate", 5_000)
-    rows.write.format("noop").mode("overwrite").save()
-    want = {r.part_id: r.total for r in slice_totals(lineitem, rng, "l_shipdate", 5_000).collect()}
-    assert counts_of(seen.get, 5_000) == want and len(want) == 5_000
+@pytest.mark.parametrize("num_slices", [8, 64, 300, 2_000])
+def test_slices_of_many_tasks_are_counted_exactly(spark, lineitem, tmp_path, num_slices):
+    """Sixteen files, each with rows of all slices."""
+    lineitem.repartition(16).write.parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    rng = find_range(rows, "l_shipdate")
+    edges = slice_ranges(rng, num_slices)
+    want = dict.fromkeys(range(num_slices), 0)
+    for row in rows.groupBy("l_shipdate").count().collect():
+        us = int(row.l_shipdate.replace(tzinfo=dt.timezone.utc).timestamp()) * 1_000_000 + row.l_shipdate.microsecond
+        want[next(k for k, e in enumerate(edges) if e.lo_us <= us < e.hi_us)] += row["count"]
+    assert slice_sizes(rows, rng, "l_shipdate", num_slices) == want
+    for merge_by in ((), ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")):
+        options = MoveOptions("l", ts_col="l_shipdate", num_slices=num_slices, merge_by=merge_by)
+        report = migrate(rows, line_files(str(tmp_path / f"out{len(merge_by)}")), options)
+        assert report.slices == want and report.read == rows.count()
 
 
 def test_last_lines(spark):

@@ -1,9 +1,10 @@
 import random
 
 from pyspark.sql import functions as F
+from support import instants, plan_of
 
-from chronoferry.operators.ranges import TimeRange
-from chronoferry.operators.slices import slice_counts, slice_of, time_slices
+from chronoferry.operators.ranges import TimeRange, between, find_range
+from chronoferry.operators.slices import place_of, slice_counts, slice_of, slice_ranges, time_slices, weighted_slices
 
 HOUR = 3_600_000_000
 
@@ -65,7 +66,40 @@ def test_no_range_no_slices(spark):
 
 
 def test_counts_are_reduced_before_the_shuffle(lineitem):
-    from support import plan_of
-
     plan = plan_of(slice_counts(lineitem, TimeRange(0, 10**16), "l_shipdate", 8))
     assert "partial_count" in plan and plan.count("Exchange") == 1
+
+
+def test_slices_on_the_driver_are_those_of_the_table(spark, events):
+    for df, n in ((events, 7), (events, 1), (instants(spark, ["2024-01-01 00:00:00.000100", "2024-01-01 00:00:00.003"]), 8)):
+        rng = find_range(df)
+        rows = time_slices(spark, rng, n).orderBy("part_id").collect()
+        assert [(r.lo_us, r.hi_us) for r in rows] == [(s.lo_us, s.hi_us) for s in slice_ranges(rng, n)]
+
+
+def test_weighted_slices(spark):
+    """Two thirds of the rows lie in a thousandth of the range."""
+    us = F.when(F.col("id") % 3 == 0, F.col("id") * 1_000_000).otherwise(5_000_000_000 + F.col("id") * 700)
+    df = spark.range(0, 30_000, numPartitions=16).select(F.timestamp_micros(us).alias("ts"))
+    rng = find_range(df)
+    for n in (1, 8, 50):
+        spark.sparkContext.setJobGroup(f"weighted {n}", "")
+        slices = weighted_slices(df, rng, "ts", n)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"weighted {n}")) <= 2
+        assert len(slices) == n and (slices[0].lo_us, slices[-1].hi_us) == (rng.lo_us, rng.hi_us)
+        assert all(a.hi_us == b.lo_us for a, b in zip(slices, slices[1:]))
+        place = place_of(F.unix_micros("ts"), slices)
+        held = dict(df.groupBy(place.alias("k")).count().collect())
+        assert sorted(held) == list(range(n)) and sum(held.values()) == 30_000
+        assert max(held.values()) <= 1.1 * 30_000 / n
+        assert [df.where(between(df, "ts", s.lo_us, s.hi_us)).count() for s in slices[:3]] == [held[k] for k in range(n)][:3]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_weighted_slices_of_few_instants(spark):
+    df = instants(spark, ["2024-01-01 00:00:00"] * 9 + ["2024-01-01 00:00:01"])
+    slices = weighted_slices(df, find_range(df), "ts", 4)
+    assert sum(df.where(between(df, "ts", s.lo_us, s.hi_us)).count() for s in slices) == 10
+    assert weighted_slices(df, None, "ts", 4) == []
+    one = instants(spark, ["2024-01-01 00:00:00"])
+    assert len(weighted_slices(one, find_range(one), "ts", 4)) == 1
