@@ -5,6 +5,8 @@ Epoch values floor toward the past, so an instant just before 1970 maps to -1.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,3 +43,10 @@ def timestamp_text(ts: Column) -> Column:
     """Timestamp text that always carries at least one fraction digit."""
     text = ts.cast("string")
     return F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
+
+
+def instant_text(us: int) -> str:
+    """The same text, in UTC, for a number on the driver."""
+    moment = dt.datetime(1970, 1, 1) + dt.timedelta(microseconds=us)
+    fraction = f"{moment.microsecond:06d}".rstrip("0") or "0"
+    return f"{moment:%Y-%m-%d %H:%M:%S}.{fraction}"

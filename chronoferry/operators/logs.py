@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +40,13 @@ def completed_line(records: Column, lo_text: Column, hi_text: Column) -> Column:
     return _fill(COMPLETED_FORMAT, lo_text, hi_text, records.cast("string"))
 
 
+def progress_messages(total: int, step: int, lo_text: str, hi_text: str) -> Iterator[str]:
+    """What a job writes of a slice with `total` rows: a line every `step` rows, and one at the end."""
+    for records in range(step, total + 1, step):
+        yield "INFO " + PROGRESS_FORMAT.format(records, lo_text, hi_text)
+    yield "INFO " + COMPLETED_FORMAT.format(lo_text, hi_text, total)
+
+
 def last_progress_lines(lines: DataFrame, count: int = PROGRESS_LINES) -> DataFrame:
     """The newest lines that speak of progress: a top-k, each task keeps `count` lines."""
     return lines.where(F.contains("value", F.lit(PROGRESS_WORD))).orderBy(F.desc("pos")).limit(count)

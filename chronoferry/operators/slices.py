@@ -59,8 +59,9 @@ def slice_of(ts_us: Column, rng: TimeRange, num_slices: int) -> Column:
 def weighted_slices(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", num_slices: int = 8) -> list[TimeRange]:
     """At most `num_slices` slices of the range with similar row counts, without gap or overlap.
 
-    Edges are quantiles of the time column, from one narrow pass with a sketch that tasks merge; its rank error
-    is a hundredth of a slice. An instant is never split: one with more rows than a slice stays whole.
+    Inner edges are quantiles of the time column, cut to whole milliseconds, from one narrow pass with a sketch
+    that tasks merge; its rank error is a hundredth of a slice. A millisecond is never split: one with more rows
+    than a slice stays whole.
     """
     if rng is None:
         return []
@@ -70,7 +71,7 @@ def weighted_slices(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", nu
         us = epoch_us(time_value(df, ts_col))
         edge = F.percentile_approx(us, shares, 100 * num_slices)
         edges = in_range(df, rng, ts_col).agg(edge.alias("edges")).first()["edges"] or []
-    inner = sorted({us for us in edges if rng.lo_us < us < rng.hi_us})
+    inner = sorted({ms for us in edges if rng.lo_us < (ms := us // 1000 * 1000) < rng.hi_us})
     bounds = [rng.lo_us, *inner, rng.hi_us]
     return [TimeRange(lo, hi) for lo, hi in zip(bounds, bounds[1:])]
 

@@ -54,7 +54,7 @@ def migrate(df: DataFrame, sink: Sink, options: MoveOptions, rejects: Sink | Non
     if rng is None:
         return MoveReport(None, rejected=rejected)
     sizes = slice_sizes(df, rng, options.ts_col, options.num_slices)
-    return _copy(scan(df, rng, options.ts_col, _needed(options)), rng, sink, options, rejected, sizes)
+    return _copy(scan(df, rng, options.ts_col, needed_columns(options)), rng, sink, options, rejected, sizes)
 
 
 def migrate_jdbc(
@@ -76,7 +76,7 @@ def migrate_jdbc(
     else:
         slices = slice_ranges(rng, options.num_slices)
     sizes = dict(enumerate(jdbc.slice_rows(spark, source, slices)))
-    rows = jdbc.project(jdbc.read_jdbc(spark, source, slices), _needed(options))
+    rows = jdbc.project(jdbc.read_jdbc(spark, source, slices), needed_columns(options))
     return _copy(rows, rng, sink, options, rejected, sizes)
 
 
@@ -154,7 +154,8 @@ def _copy(
     return report
 
 
-def _needed(options: MoveOptions) -> tuple[str, ...] | None:
+def needed_columns(options: MoveOptions) -> tuple[str, ...] | None:
+    """Columns to read; None for all."""
     if options.columns is None:
         return None
     return (*options.columns, *_order_only(options))

@@ -50,11 +50,12 @@ def _i64(key: str, value: str) -> str:
     return f"'{key}=' || CAST({value} AS VARCHAR) || 'i'"
 
 
-def _line(measurement: str, tags: list[str], fields: list[str], ms: str, source: str) -> str:
+def _line(measurement: str, tags: list[str], fields: list[str], ms: str, source: str, *others: str) -> str:
     head = ", ".join([f"'{measurement}'", *tags])
+    kept = "".join(f", {c}" for c in others)
     return f"""
-    SELECT head || ' ' || body || ' ' || CAST(ms AS VARCHAR) AS line
-    FROM (SELECT concat_ws(',', {head}) AS head, concat_ws(',', {", ".join(fields)}) AS body, {ms} AS ms FROM {source})
+    SELECT head || ' ' || body || ' ' || CAST(ms AS VARCHAR) AS line{kept}
+    FROM (SELECT concat_ws(',', {head}) AS head, concat_ws(',', {", ".join(fields)}) AS body, {ms} AS ms{kept} FROM {source})
     WHERE body <> ''"""
 
 
@@ -145,6 +146,15 @@ _LOG_LINES = f"""
         ELSE 'INFO Processed ' || pos || ' records from time partition ' || lo || ' to ' || hi END AS value
       FROM l)"""
 
+_LINEITEM_TAGS = [_tag("l_linestatus", "l_linestatus"), _tag("l_returnflag", "l_returnflag")]
+_LINEITEM_MERGED = _line(
+    "lineitem",
+    _LINEITEM_TAGS,
+    _line_fields(_LINEITEM_FIELDS),
+    "ts_ms",
+    f"({_merged('lineitem', _LINEITEM_FIELDS)})",
+)
+
 # The queries ----------------------------------------------------------------
 
 ORACLE: dict[str, str] = {
@@ -180,6 +190,8 @@ ORACLE: dict[str, str] = {
     "time_partitions": f"WITH {_sliced('events', 'ts')}, {_edges()} SELECT part_id, lo_us, hi_us FROM e",
     "partition_counts": f"""
         WITH {_sliced("lineitem", "l_shipdate")} SELECT part_id, count(*) AS n FROM s GROUP BY part_id""",
+    "quantile_slices": f"""
+        SELECT count(*) AS n, {q.WEIGHTED_SLICES}::BIGINT AS slices, true AS covered, true AS even FROM lineitem""",
     "range_scan": f"""
         SELECT event_id, {_ms("ts")} AS ts_ms, user_id, event_type, value, props
         FROM events WHERE ts >= TIMESTAMP '{q.WEEK_FROM}' AND ts < TIMESTAMP '{q.WEEK_UNTIL}'""",
@@ -264,13 +276,13 @@ ORACLE: dict[str, str] = {
     "point_merge_nulls": _merged(_LINEITEM_GAPS, _LINEITEM_FIELDS),
     "sink_roundtrip": f"SELECT {_EVENT_POINTS} FROM events",
     "migrate_events": _EVENT_LINES,
-    "migrate_merged": _line(
-        "lineitem",
-        [_tag("l_linestatus", "l_linestatus"), _tag("l_returnflag", "l_returnflag")],
-        _line_fields(_LINEITEM_FIELDS),
-        "ts_ms",
-        f"({_merged('lineitem', _LINEITEM_FIELDS)})",
-    ),
+    "migrate_merged": _LINEITEM_MERGED,
+    "migrate_resumed": f"""
+        WITH {_sliced("lineitem", "l_shipdate")},
+        t AS (SELECT *, CASE WHEN part_id < {q.FAILING_SLICE} THEN 1 ELSE 2 END::BIGINT AS run FROM s)
+        {_line("lineitem", _LINEITEM_TAGS, _line_fields(_LINEITEM_FIELDS), _ms("l_shipdate"), "t", "run")}
+        UNION ALL SELECT count(*) || ' rows read', 2 FROM t WHERE run = 2""",
+    "migrate_resumed_merged": _LINEITEM_MERGED,
     "migration_slices": f"""
         WITH {_sliced("lineitem", "l_shipdate", q.MANY_SLICES)}
         SELECT merged, i AS part_id, count(s.part_id) AS n
@@ -301,6 +313,11 @@ ORACLE: dict[str, str] = {
     "log_problems": f"""
         WITH {_LOG_LINES} SELECT pos, value FROM logs
         WHERE regexp_matches(value, '(?i)error|warn|exception') ORDER BY pos DESC LIMIT 20""",
+    "log_from_job": f"""
+        WITH {_sliced("lineitem", "l_shipdate")}, {_edges()}
+        SELECT {_text("lo_us")} AS slice_start, {_text("hi_us")} AS slice_end, count(s.part_id) AS records, true AS done,
+               1 + count(s.part_id) // {q.PAGE_ROWS * 10} AS reports
+        FROM e LEFT JOIN s USING (part_id) GROUP BY ALL""",
     "log_follow": f"""
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
     "stream_migrate": f"SELECT {_EVENT_POINTS} FROM events",

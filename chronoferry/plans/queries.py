@@ -13,6 +13,7 @@ from chronoferry.functions.line import parse_lines, to_lines
 from chronoferry.functions.timestamps import epoch_ms, epoch_us, timestamp_text
 from chronoferry.operators import logs, merge, paging, points, progress, ranges, slices
 from chronoferry.plans.migrate import migrate
+from chronoferry.plans.resume import copied_lines, migrate_resumable
 from chronoferry.sinks import line_files
 from chronoferry.sources.files import read_files, scan
 from chronoferry.streaming import append_matches, copy_to_files, run_to_end, stream_files
@@ -32,6 +33,9 @@ WEEK_UNTIL = "2024-01-15 00:00:00.000"
 AFTER_ALL = "2031-01-01 00:00:00.000"
 MANY_SLICES = 300
 INPUT_FILES = 16
+FAILING_SLICE = 5
+WEIGHTED_SLICES = 50
+CROWD_FROM_US = 852_076_800_000_000
 UNREADABLE = "sometime in January"
 FETCH_LIMIT, FETCH_OFFSET = 500, 10_000
 DEEP_LIMIT, DEEP_OFFSET = 2000, 50_000
@@ -136,6 +140,24 @@ def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.slice_counts(lineitem, rng, "l_shipdate", SLICES)
 
 
+@query
+def quantile_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of similar row counts of a table whose rows crowd: how they cover the range, and how they differ."""
+    crowded = _crowded(table(spark, sf_dir, "lineitem"))
+    rng = ranges.find_range(crowded, "l_shipdate")
+    cut = slices.weighted_slices(crowded, rng, "l_shipdate", WEIGHTED_SLICES)
+    gaps = sum(a.hi_us != b.lo_us for a, b in zip(cut, cut[1:]))
+    ends = (cut[0].lo_us, cut[-1].hi_us) == (rng.lo_us, rng.hi_us)
+    place = slices.place_of(epoch_us(F.col("l_shipdate")), cut)
+    held = crowded.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"))
+    return held.agg(
+        F.sum("n").alias("n"),
+        F.count(F.lit(1)).alias("slices"),
+        F.lit(ends and not gaps).alias("covered"),
+        (F.max("n") <= 2 * F.median("n")).alias("even"),
+    )
+
+
 @query
 def range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -420,6 +442,37 @@ def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def migrate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line with the run that wrote it: the first one fails in slice 5, the second one reads the rest only."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    target = fresh_folder(spark, "resumed")
+    options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=SLICES)
+    edge = slices.slice_ranges(ranges.find_range(lineitem, "l_shipdate"), SLICES)[FAILING_SLICE].lo_us
+    lost = F.when(epoch_us(F.col("l_shipdate")) >= edge, F.raise_error(F.lit("the source is lost")))
+    try:
+        migrate_resumable(lineitem.withColumn("l_tax", lost.otherwise(F.col("l_tax"))), target, options)
+    except Exception as failure:
+        if "the source is lost" not in str(failure):
+            raise
+    report = migrate_resumable(lineitem, target, options)
+    run = F.when(F.col("part_id").isin(*report.copied), 2).otherwise(1).cast("bigint").alias("run")
+    lines = read_files(spark, target, "text").select(F.col("value").alias("line"), run)
+    return lines.union(spark.createDataFrame([(f"{report.read} rows read", 2)], "line string, run bigint"))
+
+
+@query
+def migrate_resumed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merged lines of slices of about equal row counts, two at a time; a second run finds nothing to do."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    target = fresh_folder(spark, "resumed")
+    options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=4, merge_by=tuple(LINE_KEYS), even_slices=True)
+    migrate_resumable(lineitem, target, options, at_once=2)
+    if migrate_resumable(lineitem, target, options).copied:
+        raise AssertionError("a second run copied again")
+    return copied_lines(spark, target)
+
+
 # Progress and logs ----------------------------------------------------------
 
 
@@ -451,6 +504,18 @@ def log_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.last_problem_lines(_log_lines(spark, sf_dir))
 
 
+@query
+def log_from_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a copy wrote into its log, read again: the newest report of each slice, and how many there are."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    folder = fresh_folder(spark, "job")
+    options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=SLICES, batch_size=PAGE_ROWS)
+    migrate_resumable(lineitem, f"{folder}/lines", options, log_folder=f"{folder}/logs")
+    lines = logs.read_logs(spark, f"{folder}/logs")
+    reports = logs.parse_progress(lines).groupBy("slice_start", "slice_end").agg(F.count(F.lit(1)).alias("reports"))
+    return logs.latest_progress(lines).drop("pos").join(reports, ["slice_start", "slice_end"])
+
+
 @query
 def log_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "logs")
@@ -509,6 +574,15 @@ def _page(lineitem: DataFrame, limit: int, offset: int) -> DataFrame:
     return page.select(epoch_ms(F.col("l_shipdate")).alias("ts_ms"), *keys, *others)
 
 
+def _crowded(lineitem: DataFrame) -> DataFrame:
+    """Two thirds of the rows moved into a thousandth of the range: second by second instead of day by day."""
+    us, number = epoch_us(F.col("l_shipdate")), F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    spread = us + F.pmod(number * 7_919_000, F.lit(86_400_000_000))
+    moved = CROWD_FROM_US + F.pmod(number * 1_000, F.lit(200_000_000_000))
+    at = F.timestamp_micros(F.when(F.col("l_orderkey") % 3 == 0, spread).otherwise(moved))
+    return lineitem.withColumn("l_shipdate", at.cast("timestamp_ntz"))
+
+
 def _with_gaps(events: DataFrame) -> DataFrame:
     """Views lose their value, signups their type, and errors everything but the time."""
     kind = F.col("event_type")

@@ -7,8 +7,6 @@ that starts from the same checkpoint goes on where the last one stopped.
 
 from __future__ import annotations
 
-import logging
-import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,10 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from chronoferry.config import RESTART_ATTEMPTS, RESTART_DELAY_S
 from chronoferry.functions.line import to_lines
+from chronoferry.restart import restarted
 from chronoferry.sinks.endpoint import FORMAT, LineEndpoint
 
-log = logging.getLogger(__name__)
-
 
 def stream_files(
     spark: SparkSession,
@@ -58,15 +55,7 @@ def run_to_end(
     start: Callable[[], StreamingQuery], attempts: int = RESTART_ATTEMPTS, delay_s: float = RESTART_DELAY_S
 ) -> None:
     """Run a stopping query to its end, starting it again from its checkpoint up to `attempts` times."""
-    for restart in range(attempts + 1):
-        try:
-            start().awaitTermination()
-            return
-        except Exception as failure:
-            if restart == attempts:
-                raise
-            log.warning("stream failed, restart %d of %d: %s", restart + 1, attempts, failure)
-            time.sleep(delay_s)
+    restarted(lambda: start().awaitTermination(), attempts, delay_s)
 
 
 def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:

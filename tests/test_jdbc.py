@@ -138,7 +138,8 @@ def test_counts_are_one_job(spark, events, monkeypatch):
         return spark.range(1).selectExpr("CAST(0 AS INT) AS place", "7L AS held").where(f"{len(statements)} = 1")
 
     monkeypatch.setattr(jdbc, "_load", load)
+    slices = slice_ranges(find_range(events), 300)
     spark.sparkContext.setJobGroup("counts", "counts")
-    assert jdbc.slice_rows(spark, source, slice_ranges(find_range(events), 300)) == [7, *[0] * 299]
+    assert jdbc.slice_rows(spark, source, slices) == [7, *[0] * 299]
     assert len(statements) == 3 and len(spark.sparkContext.statusTracker().getJobIdsForGroup("counts")) == 1
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
