@@ -321,6 +321,13 @@ ORACLE: dict[str, str] = {
     "log_follow": f"""
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
     "stream_migrate": f"SELECT {_EVENT_POINTS} FROM events",
+    "stream_rejects": f"""
+        SELECT 'point' AS outcome, line AS text FROM ({_line("events", _EVENT_TAGS, _EVENT_FIELDS, _ms("ts"), "events", "event_type")})
+        WHERE event_type NOT IN ('view', 'error')
+        UNION ALL
+        SELECT CASE event_type WHEN 'view' THEN 'time is null' ELSE 'time is not a timestamp' END, CAST(event_id AS VARCHAR)
+        FROM events WHERE event_type IN ('view', 'error')""",
+    "stream_merge": _merged("lineitem", _LINEITEM_FIELDS),
     "stream_lines": _line(
         "orders",
         [_tag("o_orderpriority", "o_orderpriority"), _tag("o_orderstatus", "o_orderstatus")],

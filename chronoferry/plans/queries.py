@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from chronoferry.config import MoveOptions, fresh_folder, use_utc
 from chronoferry.functions.columns import field_of
@@ -16,7 +17,15 @@ from chronoferry.plans.migrate import migrate
 from chronoferry.plans.resume import copied_lines, migrate_resumable
 from chronoferry.sinks import line_files
 from chronoferry.sources.files import read_files, scan
-from chronoferry.streaming import append_matches, copy_to_files, run_to_end, stream_files
+from chronoferry.streaming import (
+    append_matches,
+    copy_merged,
+    copy_to_files,
+    copy_with_rejects,
+    merged_points,
+    run_to_end,
+    stream_files,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +44,7 @@ MANY_SLICES = 300
 INPUT_FILES = 16
 FAILING_SLICE = 5
 WEIGHTED_SLICES = 50
+STREAM_PARTS, STREAM_DELAY = 6, "900 days"
 CROWD_FROM_US = 852_076_800_000_000
 UNREADABLE = "sometime in January"
 FETCH_LIMIT, FETCH_OFFSET = 500, 10_000
@@ -547,6 +557,41 @@ def stream_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, f"{folder}/lines", "text", "line string")
 
 
+@query
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and rejected rows of a stream of several batches, each to a place of its own."""
+    folder = fresh_folder(spark, "stream")
+    events = _in_files(_with_text_time(table(spark, sf_dir, "events")), "events", 4)
+    path = events.inputFiles()[0].rsplit("/", 1)[0]
+
+    def start() -> StreamingQuery:
+        stream = stream_files(spark, path, events.schema, files_per_batch=1)
+        return copy_with_rejects(stream, f"{folder}/lines", f"{folder}/rejects", f"{folder}/checkpoint", MoveOptions("events"))
+
+    run_to_end(start)
+    run_to_end(start)  # nothing is left to do
+    lines = read_files(spark, f"{folder}/lines", "text").select(F.lit("point").alias("outcome"), F.col("value").alias("text"))
+    refused = read_files(spark, f"{folder}/rejects", "json", "reason string, row_json string")
+    return lines.union(refused.select("reason", F.get_json_object("row_json", "$.event_id")))
+
+
+@query
+def stream_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points merged while they arrive, in batches that hold rows of the same points."""
+    folder = fresh_folder(spark, "stream")
+    lineitem = table(spark, sf_dir, "lineitem")
+    rng = ranges.find_range(lineitem, "l_shipdate")
+    # Half of the rows of a sixth of the time come with those of the next.
+    sixth = slices.slice_of(epoch_us(F.col("l_shipdate")), rng, STREAM_PARTS)
+    arrival = sixth + F.pmod("l_orderkey", F.lit(2))
+    for k in range(STREAM_PARTS + 1):
+        lineitem.where(arrival == k).repartition(2).write.mode("append").parquet(f"{folder}/in")
+    stream = stream_files(spark, f"{folder}/in", lineitem.schema, files_per_batch=2)
+    built = points.to_points(stream, "lineitem", "l_shipdate", carry=tuple(LINE_KEYS))
+    run_to_end(lambda: copy_merged(built, f"{folder}/out", f"{folder}/checkpoint", STREAM_DELAY))
+    return _point_columns(merged_points(spark, f"{folder}/out"), "merged_rows")
+
+
 # Inputs and outputs shared by queries ---------------------------------------
 
 

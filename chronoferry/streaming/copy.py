@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from chronoferry.config import RESTART_ATTEMPTS, RESTART_DELAY_S
 from chronoferry.functions.line import to_lines
@@ -40,7 +40,7 @@ def copy_to_files(
     stream: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", interval: str | None = None
 ) -> StreamingQuery:
     """Append the rows of a stream to files. Without an interval it stops at the end of the input."""
-    return _start(stream.writeStream.format(fmt).option("path", path), checkpoint, interval)
+    return start_stream(stream.writeStream.format(fmt).option("path", path), checkpoint, interval)
 
 
 def copy_to_endpoint(
@@ -48,7 +48,7 @@ def copy_to_endpoint(
 ) -> StreamingQuery:
     """Send the points of a stream to a line-protocol endpoint, at least once each."""
     points.sparkSession.dataSource.register(LineEndpoint)
-    return _start(to_lines(points).writeStream.format(FORMAT).options(**options), checkpoint, interval)
+    return start_stream(to_lines(points).writeStream.format(FORMAT).options(**options), checkpoint, interval)
 
 
 def run_to_end(
@@ -58,7 +58,10 @@ def run_to_end(
     restarted(lambda: start().awaitTermination(), attempts, delay_s)
 
 
-def _start(writer, checkpoint: str, interval: str | None) -> StreamingQuery:
-    writer = writer.outputMode("append").option("checkpointLocation", checkpoint)
+def start_stream(
+    writer: DataStreamWriter, checkpoint: str, interval: str | None = None, mode: str = "append"
+) -> StreamingQuery:
+    """Start a query that polls at an interval, or without one stops at the present end of its input."""
+    writer = writer.outputMode(mode).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()
