@@ -320,6 +320,10 @@ ORACLE: dict[str, str] = {
         FROM e LEFT JOIN s USING (part_id) GROUP BY ALL""",
     "log_follow": f"""
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
+    "log_follow_growing": f"""
+        WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
+    "lines_scan": f"""
+        SELECT {_EVENT_POINTS} FROM events WHERE ts >= TIMESTAMP '{q.WEEK_FROM}' AND ts < TIMESTAMP '{q.WEEK_UNTIL}'""",
     "stream_migrate": f"SELECT {_EVENT_POINTS} FROM events",
     "stream_rejects": f"""
         SELECT 'point' AS outcome, line AS text FROM ({_line("events", _EVENT_TAGS, _EVENT_FIELDS, _ms("ts"), "events", "event_type")})

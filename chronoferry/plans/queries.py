@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from chronoferry.config import MoveOptions, fresh_folder, use_utc
+from chronoferry.config import MoveOptions, fresh_folder, ship_package, use_utc
 from chronoferry.functions.columns import field_of
 from chronoferry.functions.line import parse_lines, to_lines
 from chronoferry.functions.timestamps import epoch_ms, epoch_us, timestamp_text
@@ -17,7 +19,10 @@ from chronoferry.plans.migrate import migrate
 from chronoferry.plans.resume import copied_lines, migrate_resumable
 from chronoferry.sinks import line_files
 from chronoferry.sources.files import read_files, scan
+from chronoferry.sources.lines import scan_lines
+from chronoferry.sources.pieces import open_folder
 from chronoferry.streaming import (
+    append_growing,
     append_matches,
     copy_merged,
     copy_to_files,
@@ -483,6 +488,17 @@ def migrate_resumed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copied_lines(spark, target)
 
 
+@query
+def lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A week out of written lines; the reader drops the rest by the end of each line."""
+    built = points.to_points(table(spark, sf_dir, "events"), "events")
+    path = fresh_folder(spark, "lines")
+    line_files(path)(to_lines(built))
+    rng = ranges.find_range(table(spark, sf_dir, "events"), start=WEEK_FROM, end=WEEK_UNTIL)
+    rows = scan_lines(spark, path, points.layout_of_points(built))
+    return rows.where((F.col("ts_ms") >= rng.lo_us // 1000) & (F.col("ts_ms") < rng.hi_us // 1000))
+
+
 # Progress and logs ----------------------------------------------------------
 
 
@@ -535,6 +551,17 @@ def log_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_files(spark, out, "text", "value string")
 
 
+@query
+def log_follow_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Problems out of log files that grow between two runs; the first one finds them cut in the midst of a line."""
+    folder = fresh_folder(spark, "growing")
+    lines = _log_lines(spark, sf_dir).select("value")
+    for share in (0.5, 1.0):
+        _write_logs(lines, f"{folder}/in", share)
+        run_to_end(lambda: append_growing(spark, f"{folder}/in", logs.PROBLEM_PATTERN, f"{folder}/out", f"{folder}/checkpoint"))
+    return read_files(spark, f"{folder}/out", "text", "value string")
+
+
 # Streaming ------------------------------------------------------------------
 
 
@@ -628,6 +655,23 @@ def _crowded(lineitem: DataFrame) -> DataFrame:
     return lineitem.withColumn("l_shipdate", at.cast("timestamp_ntz"))
 
 
+def _write_logs(lines: DataFrame, folder: str, share: float, files: int = 4) -> None:
+    """Log files with the first part of their bytes; with another share the same files are longer or shorter."""
+    ship_package(lines.sparkSession)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = "".join(f"{line}\n" for batch in batches for line in batch.column(0).to_pylist()).encode()
+        system, root = open_folder(folder)
+        system.create_dir(root)
+        with system.open_output_stream(f"{root}/job-{TaskContext.get().partitionId()}.log") as out:
+            out.write(text[: int(len(text) * share)])
+        yield from ()
+
+    # The same rows in the same order whenever a task runs.
+    dealt = lines.repartition(files, "value").sortWithinPartitions("value")
+    dealt.mapInArrow(write, "value string").write.format("noop").mode("overwrite").save()
+
+
 def _with_gaps(events: DataFrame) -> DataFrame:
     """Views lose their value, signups their type, and errors everything but the time."""
     kind = F.col("event_type")
