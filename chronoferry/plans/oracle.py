@@ -204,6 +204,11 @@ ORACLE: dict[str, str] = {
         ORDER BY l_shipdate, {_LINE_KEYS} LIMIT {q.DEEP_LIMIT} OFFSET {q.DEEP_OFFSET}""",
     "page_index": _page_index("events", "ts", "ts, event_id"),
     "page_index_ties": _page_index("lineitem", "l_shipdate", f"l_shipdate, {_LINE_KEYS}"),
+    "page_walk": f"""
+        WITH p AS (SELECT *, (row_number() OVER (ORDER BY l_shipdate, {_LINE_KEYS}) - 1) // {q.WALK_ROWS} AS page_no FROM lineitem)
+        SELECT page_no, count(*) AS n, min({_ms("l_shipdate")}) AS first_ms, max({_ms("l_shipdate")}) AS last_ms,
+               sum(l_orderkey)::BIGINT AS orders, sum(l_partkey)::BIGINT AS parts
+        FROM p GROUP BY page_no""",
     "page_batches": f"""
         WITH {_sliced("events", "ts")},
         p AS (SELECT *, ({_PAGED.format(order="ts, event_id")}) // {q.PAGE_ROWS} AS page_no FROM s)

@@ -14,7 +14,7 @@ from chronoferry.config import MoveOptions, fresh_folder, ship_package, use_utc
 from chronoferry.functions.columns import field_of
 from chronoferry.functions.line import parse_lines, to_lines
 from chronoferry.functions.timestamps import epoch_ms, epoch_us, timestamp_text
-from chronoferry.operators import logs, merge, paging, points, progress, ranges, slices
+from chronoferry.operators import logs, merge, paging, points, progress, ranges, slices, walk
 from chronoferry.plans.migrate import migrate
 from chronoferry.plans.resume import copied_lines, migrate_resumable
 from chronoferry.sinks import line_files
@@ -47,6 +47,7 @@ WEEK_UNTIL = "2024-01-15 00:00:00.000"
 AFTER_ALL = "2031-01-01 00:00:00.000"
 MANY_SLICES = 300
 INPUT_FILES = 16
+WALK_ROWS = 2000
 FAILING_SLICE = 5
 WEIGHTED_SLICES = 50
 STREAM_PARTS, STREAM_DELAY = 6, "900 days"
@@ -215,6 +216,22 @@ def page_index_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return paging.page_index(lineitem, rng, "l_shipdate", LINE_KEYS, SLICES, PAGE_ROWS)
 
 
+@query
+def page_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages of a table, each found by the token of the last one."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    rng = ranges.find_range(lineitem, "l_shipdate")
+    rows, token = [], None
+    while not rows or token is not None:
+        page, token = walk.page_after(lineitem, rng, "l_shipdate", LINE_KEYS, WALK_ROWS, token)
+        ms = epoch_ms(F.col("l_shipdate"))
+        seen = page.agg(F.count(F.lit(1)), F.min(ms), F.max(ms), F.sum("l_orderkey"), F.sum("l_partkey")).first()
+        rows.append((len(rows), *seen))
+    return spark.createDataFrame(
+        rows, "page_no bigint, n bigint, first_ms bigint, last_ms bigint, orders bigint, parts bigint"
+    )
+
+
 @query
 def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
