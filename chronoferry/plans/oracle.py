@@ -327,6 +327,11 @@ ORACLE: dict[str, str] = {
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
     "log_follow_growing": f"""
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
+    "endpoint_lines": _EVENT_LINES,
+    "endpoint_bodies": f"""
+        SELECT lines, count(*) AS bodies FROM (
+            SELECT count(*) AS lines FROM (SELECT (row_number() OVER () - 1) // {q.PAGE_ROWS} AS body FROM orders) GROUP BY body)
+        GROUP BY lines""",
     "lines_scan": f"""
         SELECT {_EVENT_POINTS} FROM events WHERE ts >= TIMESTAMP '{q.WEEK_FROM}' AND ts < TIMESTAMP '{q.WEEK_UNTIL}'""",
     "stream_migrate": f"SELECT {_EVENT_POINTS} FROM events",

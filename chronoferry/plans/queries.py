@@ -17,7 +17,9 @@ from chronoferry.functions.timestamps import epoch_ms, epoch_us, timestamp_text
 from chronoferry.operators import logs, merge, paging, points, progress, ranges, slices, walk
 from chronoferry.plans.migrate import migrate
 from chronoferry.plans.resume import copied_lines, migrate_resumable
-from chronoferry.sinks import line_files
+from chronoferry.restart import restarted
+from chronoferry.sinks import line_endpoint, line_files
+from chronoferry.sinks.transport import BodyFiles
 from chronoferry.sources.files import read_files, scan
 from chronoferry.sources.lines import scan_lines
 from chronoferry.sources.pieces import open_folder
@@ -48,6 +50,7 @@ AFTER_ALL = "2031-01-01 00:00:00.000"
 MANY_SLICES = 300
 INPUT_FILES = 16
 WALK_ROWS = 2000
+ORG, BUCKET = "org", "bucket"
 FAILING_SLICE = 5
 WEIGHTED_SLICES = 50
 STREAM_PARTS, STREAM_DELAY = 6, "900 days"
@@ -57,6 +60,25 @@ FETCH_LIMIT, FETCH_OFFSET = 500, 10_000
 DEEP_LIMIT, DEEP_OFFSET = 2000, 50_000
 
 
+class Unsteady(BodyFiles):
+    """A target that at first fails to answer each Python worker: one check of the connection, then two bodies."""
+
+    failures = {"ping": 1, "send": 2}
+
+    def ping(self) -> None:
+        self._fail("ping")
+        super().ping()
+
+    def send(self, body: bytes) -> None:
+        self._fail("send")
+        super().send(body)
+
+    def _fail(self, what: str) -> None:
+        self.failures[what] -= 1
+        if self.failures[what] >= 0:
+            raise ConnectionError(what)
+
+
 def query(fn: Query) -> Query:
     """Register a query under its own name; wall-clock values are read as UTC."""
 
@@ -476,18 +498,14 @@ def migration_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def migrate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line with the run that wrote it: the first one fails in slice 5, the second one reads the rest only."""
+    """Every line with the run that wrote it: the first one fails in slice 5, the restarted one reads the rest only."""
     lineitem = table(spark, sf_dir, "lineitem")
     target = fresh_folder(spark, "resumed")
     options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=SLICES)
     edge = slices.slice_ranges(ranges.find_range(lineitem, "l_shipdate"), SLICES)[FAILING_SLICE].lo_us
     lost = F.when(epoch_us(F.col("l_shipdate")) >= edge, F.raise_error(F.lit("the source is lost")))
-    try:
-        migrate_resumable(lineitem.withColumn("l_tax", lost.otherwise(F.col("l_tax"))), target, options)
-    except Exception as failure:
-        if "the source is lost" not in str(failure):
-            raise
-    report = migrate_resumable(lineitem, target, options)
+    states = [lineitem.withColumn("l_tax", lost.otherwise(F.col("l_tax"))), lineitem]
+    report = restarted(lambda: migrate_resumable(states.pop(0), target, options), delay_s=0)
     run = F.when(F.col("part_id").isin(*report.copied), 2).otherwise(1).cast("bigint").alias("run")
     lines = read_files(spark, target, "text").select(F.col("value").alias("line"), run)
     return lines.union(spark.createDataFrame([(f"{report.read} rows read", 2)], "line string, run bigint"))
@@ -505,6 +523,27 @@ def migrate_resumed_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return copied_lines(spark, target)
 
 
+@query
+def endpoint_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a target has got whose first connections and sends fail and are tried again."""
+    folder = fresh_folder(spark, "endpoint")
+    sink = line_endpoint(
+        folder, "token", ORG, BUCKET, PAGE_ROWS, writers=3, transport=f"{__name__}:Unsteady", retry_delay_s=0
+    )
+    migrate(table(spark, sf_dir, "events"), sink, MoveOptions("events"))
+    return read_files(spark, f"{folder}/{ORG}/{BUCKET}", "text", "line string")
+
+
+@query
+def endpoint_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many bodies of the batch size a target has got from one task, and the size of the last one."""
+    folder = fresh_folder(spark, "endpoint")
+    sink = line_endpoint(folder, "token", ORG, BUCKET, PAGE_ROWS, writers=1, transport="files")
+    migrate(table(spark, sf_dir, "orders"), sink, MoveOptions("orders", ts_col="o_orderdate"))
+    bodies = read_files(spark, f"{folder}/{ORG}/{BUCKET}", "text").groupBy("_metadata.file_path").count()
+    return bodies.groupBy(F.col("count").alias("lines")).agg(F.count(F.lit(1)).alias("bodies"))
+
+
 @query
 def lines_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A week out of written lines; the reader drops the rest by the end of each line."""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from chronoferry.config import DEFAULT_BATCH_SIZE
+from chronoferry.config import DEFAULT_BATCH_SIZE, ship_package
 from chronoferry.sinks.endpoint import FORMAT, LineEndpoint
 
 Sink = Callable[[DataFrame], None]
@@ -26,11 +26,15 @@ def line_endpoint(
     writers: int | None = None,
     **options: object,
 ) -> Sink:
-    """A line-protocol endpoint; `writers` bounds how many tasks send at the same time."""
+    """A line-protocol endpoint; `writers` bounds how many tasks send at the same time.
+
+    With a bound the finished lines are dealt to so many tasks, and are read and made by as many as ever.
+    """
 
     def write(lines: DataFrame) -> None:
+        ship_package(lines.sparkSession)
         lines.sparkSession.dataSource.register(LineEndpoint)
-        frame = lines if writers is None else lines.coalesce(writers)
+        frame = lines if writers is None else lines.repartition(writers)
         settings = {"url": url, "token": token, "org": org, "bucket": bucket, "batch_size": batch_size, **options}
         frame.write.format(FORMAT).mode("append").options(**settings).save()
 

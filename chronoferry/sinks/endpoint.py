@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -30,16 +32,23 @@ class Sent(WriterCommitMessage):
     bodies: int
 
 
-def bodies(batches: Iterator, size: int) -> Iterator[list[str]]:
-    """Arrow batches of one text column, regrouped into lists of `size` lines."""
-    held: list[str] = []
+def bodies(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, bytes]]:
+    """Arrow batches of one text column, regrouped into bodies of `size` lines and their numbers of lines.
+
+    Lines are joined column-wise; no line is a Python object.
+    """
+    held = pa.array([], pa.binary())
     for batch in batches:
-        held.extend(batch.column(0).to_pylist())
-        while len(held) >= size:
-            yield held[:size]
-            held = held[size:]
-    if held:
-        yield held
+        held = pa.concat_arrays([held, batch.column(0).cast(pa.binary())])
+        full = len(held) // size * size
+        yield from ((size, body) for body in _joined(held[:full], size))
+        held = held[full:]
+    yield from ((len(held), body) for body in _joined(held, max(len(held), 1)))
+
+
+def _joined(lines: pa.Array, size: int) -> Iterator[bytes]:
+    groups = pa.ListArray.from_arrays(pa.array(range(0, len(lines) + 1, size), pa.int32()), lines)
+    return (body.as_py() for body in pc.binary_join(groups, b"\n"))
 
 
 class _Sender:
@@ -54,9 +63,9 @@ class _Sender:
         connection.connect()
         lines = count = 0
         try:
-            for body in bodies(iterator, size):
-                connection.send("\n".join(body).encode("utf-8"))
-                lines, count = lines + len(body), count + 1
+            for held, body in bodies(iterator, size):
+                connection.send(body)
+                lines, count = lines + held, count + 1
         finally:
             connection.close()
         return Sent(lines, count)

@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import gzip
+import http.client
 import importlib
 import logging
 import time
-import urllib.error
 import urllib.parse
-import urllib.request
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Protocol
@@ -29,6 +29,10 @@ class Rejected(Exception):
     """The target refused the body for good; sending it again cannot help."""
 
 
+class Unavailable(Exception):
+    """The target can't take the body now."""
+
+
 class Transport(Protocol):
     def ping(self) -> None: ...
 
@@ -104,47 +108,78 @@ class Connection:
 
 
 class HttpTransport:
-    """Synchronous writes to a `/api/v2/write` endpoint with millisecond precision."""
+    """Synchronous writes to a `/api/v2/write` endpoint with millisecond precision, over one kept connection."""
 
     def __init__(self, options: Mapping[str, str]):
-        self._base = options["url"].rstrip("/")
+        url = urllib.parse.urlsplit(options["url"])
+        if url.scheme not in ("http", "https") or not url.hostname:
+            raise ValueError("the address of the target must begin with http:// or https://")
         query = {"org": options["org"], "bucket": options["bucket"], "precision": "ms"}
-        self._write_url = f"{self._base}/api/v2/write?{urllib.parse.urlencode(query)}"
+        self._base = url.path.rstrip("/")
+        self._target = f"{self._base}/api/v2/write?{urllib.parse.urlencode(query)}"
         self._headers = {"Authorization": f"Token {options['token']}", "Content-Type": "text/plain; charset=utf-8"}
         self._zip = options.get("gzip", "false").lower() == "true"
-        self._timeout = float(options.get("timeout_s", "30"))
+        kind = http.client.HTTPSConnection if url.scheme == "https" else http.client.HTTPConnection
+        self._connection = kind(url.hostname, url.port, timeout=float(options.get("timeout_s", "30")))
 
     def ping(self) -> None:
-        self._call(urllib.request.Request(f"{self._base}/ping"))
+        self._call("GET", f"{self._base}/ping", None, {})
 
     def send(self, body: bytes) -> None:
-        self._call(self.write_request(body))
-
-    def close(self) -> None:
-        pass
-
-    def write_request(self, body: bytes) -> urllib.request.Request:
         headers = dict(self._headers)
         if self._zip:
             body, headers["Content-Encoding"] = gzip.compress(body), "gzip"
-        return urllib.request.Request(self._write_url, data=body, headers=headers, method="POST")
+        self._call("POST", self._target, body, headers)
 
-    def _call(self, request: urllib.request.Request) -> None:
+    def close(self) -> None:
+        self._connection.close()
+
+    def _call(self, method: str, path: str, body: bytes | None, headers: dict[str, str]) -> None:
         try:
-            with urllib.request.urlopen(request, timeout=self._timeout) as answer:
-                answer.read()
-        except urllib.error.HTTPError as failure:
-            if 400 <= failure.code < 500 and failure.code not in _RETRYABLE_STATUS:
-                detail = failure.read(500).decode("utf-8", "replace")
-                raise Rejected(f"status {failure.code}: {detail}") from failure
+            self._connection.request(method, path, body, headers)
+            answer = self._connection.getresponse()
+            said = answer.read()  # to the end, so that the connection can be used again
+        except (http.client.HTTPException, OSError):
+            self._connection.close()  # the next call opens it again
             raise
+        if answer.status < 400:
+            return
+        detail = f"status {answer.status}: {said[:500].decode('utf-8', 'replace')}"
+        refused = answer.status < 500 and answer.status not in _RETRYABLE_STATUS
+        raise Rejected(detail) if refused else Unavailable(detail)
+
+
+class BodyFiles:
+    """Keeps every body as a file below `url/org/bucket`, for targets that are fed later or elsewhere."""
+
+    def __init__(self, options: Mapping[str, str]):
+        from chronoferry.sources.pieces import open_folder
+
+        self._system, root = open_folder(options["url"])
+        self._folder = "/".join([root.rstrip("/"), *(urllib.parse.quote(options[k], safe="") for k in ("org", "bucket"))])
+
+    def ping(self) -> None:
+        self._system.create_dir(self._folder, recursive=True)
+
+    def send(self, body: bytes) -> None:
+        # A name that no reader takes until the file is whole.
+        name = uuid.uuid4().hex
+        with self._system.open_output_stream(f"{self._folder}/_{name}") as out:
+            out.write(body + b"\n")
+        self._system.move(f"{self._folder}/_{name}", f"{self._folder}/{name}.lines")
+
+    def close(self) -> None:
+        pass
 
 
 def transport_factory(options: Mapping[str, str]) -> Callable[[], Transport]:
-    """The HTTP transport, or one named by the option `transport` as `module:factory`."""
+    """HTTP, files (`files`), or what the option `transport` names as `module:factory`."""
     name = options.get("transport", "http")
-    if name == "http":
-        return lambda: HttpTransport(options)
+    if name in _KNOWN:
+        return lambda: _KNOWN[name](options)
     module, _, attribute = name.partition(":")
     factory = getattr(importlib.import_module(module), attribute)
     return lambda: factory(options)
+
+
+_KNOWN = {"http": HttpTransport, "files": BodyFiles}

@@ -1,8 +1,7 @@
 import gzip
+import http.client
 import io
 import os
-import urllib.error
-import urllib.request
 
 import pyarrow as pa
 import pytest
@@ -13,7 +12,15 @@ from chronoferry.operators.points import to_points
 from chronoferry.sinks import line_endpoint, line_files
 from chronoferry.sinks.endpoint import LineEndpoint, LineWriter
 from chronoferry.sinks.endpoint import bodies as regroup
-from chronoferry.sinks.transport import Connection, HttpTransport, Rejected, RetryPolicy, transport_factory
+from chronoferry.sinks.transport import (
+    BodyFiles,
+    Connection,
+    HttpTransport,
+    Rejected,
+    RetryPolicy,
+    Unavailable,
+    transport_factory,
+)
 
 FAST = {"retry_delay_s": "0"}
 TARGET = {"url": "http://target:1/", "org": "an org", "bucket": "b&c", "token": "secret"}
@@ -83,29 +90,92 @@ def test_a_refused_body_is_not_sent_again():
 def test_lines_are_regrouped_across_batches():
     batches = [pa.record_batch([[str(i) for i in range(a, b)]], ["line"]) for a, b in ((0, 5), (5, 6), (6, 13))]
     groups = list(regroup(iter(batches), 4))
-    assert [len(g) for g in groups] == [4, 4, 4, 1]
-    assert sum(groups, []) == [str(i) for i in range(13)]
+    assert [n for n, _ in groups] == [4, 4, 4, 1]
+    assert b"\n".join(body for _, body in groups) == b"\n".join(b"%d" % i for i in range(13))
     assert list(regroup(iter([]), 4)) == []
+    assert list(regroup(iter([pa.record_batch([["é", ""]], ["line"])]), 1)) == [(1, "é".encode()), (1, b"")]
 
 
-def test_http_request():
-    request = HttpTransport(TARGET).write_request(b"line")
-    assert request.full_url == "http://target:1/api/v2/write?org=an+org&bucket=b%26c&precision=ms"
-    assert request.get_method() == "POST" and request.get_header("Authorization") == "Token secret"
-    zipped = HttpTransport({**TARGET, "gzip": "true"}).write_request(b"line")
-    assert gzip.decompress(zipped.data) == b"line" and zipped.get_header("Content-encoding") == "gzip"
+class Answer(io.BytesIO):
+    def __init__(self, status):
+        super().__init__(b"why")
+        self.status = status
 
 
-@pytest.mark.parametrize("status, failure", [(400, Rejected), (401, Rejected), (429, urllib.error.HTTPError), (503, urllib.error.HTTPError)])
-def test_http_answers(monkeypatch, status, failure):
-    def answer(request, timeout):
-        raise urllib.error.HTTPError(request.full_url, status, "no", {}, io.BytesIO(b"why"))
+@pytest.fixture()
+def calls(monkeypatch):
+    """What a connection is asked for; nothing is sent. The first entries of `statuses` are what it answers."""
 
-    monkeypatch.setattr(urllib.request, "urlopen", answer)
-    with pytest.raises(failure):
+    class Fake:
+        opened, closed, asked, statuses = [], 0, [], []
+
+        def __init__(self, host, port, timeout):
+            Fake.opened.append((host, port, timeout))
+
+        def request(self, method, path, body, headers):
+            Fake.asked.append((method, path, body, headers))
+
+        def getresponse(self):
+            status = Fake.statuses.pop(0) if Fake.statuses else 204
+            if isinstance(status, Exception):
+                raise status
+            return Answer(status)
+
+        def close(self):
+            Fake.closed += 1
+
+    monkeypatch.setattr(http.client, "HTTPConnection", Fake)
+    return Fake
+
+
+def test_http_requests_share_a_connection(calls):
+    connection = Connection(lambda: HttpTransport(TARGET), RetryPolicy(delay_s=0))
+    connection.connect()
+    for body in (b"one", b"two"):
+        connection.send(body)
+    connection.close()
+    path = "/api/v2/write?org=an+org&bucket=b%26c&precision=ms"
+    assert [c[:3] for c in calls.asked] == [("GET", "/ping", None), ("POST", path, b"one"), ("POST", path, b"two")]
+    assert calls.asked[1][3]["Authorization"] == "Token secret"
+    assert calls.opened == [("target", 1, 30.0)] and calls.closed == 1
+
+
+def test_http_bodies_are_zipped_if_asked(calls):
+    HttpTransport({**TARGET, "url": "http://target/base/", "gzip": "true"}).send(b"line")
+    (_, path, body, headers) = calls.asked[0]
+    assert gzip.decompress(body) == b"line" and headers["Content-Encoding"] == "gzip" and path.startswith("/base/api")
+
+
+@pytest.mark.parametrize("status, failure", [(400, Rejected), (401, Rejected), (429, Unavailable), (503, Unavailable)])
+def test_http_answers(calls, status, failure):
+    calls.statuses.append(status)
+    with pytest.raises(failure, match=f"{status}: why"):
         HttpTransport(TARGET).send(b"line")
 
 
+def test_a_broken_connection_is_opened_again(calls):
+    connection = Connection(lambda: HttpTransport(TARGET), RetryPolicy(delay_s=0))
+    connection.connect()
+    calls.statuses += [ConnectionResetError("gone"), 503, 204, 204]
+    connection.send(b"line")
+    assert [c[0] for c in calls.asked] == ["GET", "POST", "GET", "GET", "POST"]
+
+
+def test_addresses_without_a_scheme_are_refused():
+    with pytest.raises(ValueError, match="http"):
+        HttpTransport({**TARGET, "url": "target:8086"})
+
+
+def test_bodies_as_files(spark, events, tmp_path):
+    lines = to_lines(to_points(events, "events"))
+    line_endpoint(str(tmp_path), "secret", "an org", "b/c", 300, transport="files")(lines.repartition(3))
+    folder = tmp_path / "an%20org" / "b%2Fc"
+    got = spark.read.text(str(folder))
+    assert got.exceptAll(lines).count() == 0 and got.count() == lines.count()
+    assert max(len(f.read_text().splitlines()) for f in folder.iterdir()) == 300
+    assert isinstance(transport_factory({**TARGET, "url": str(tmp_path), "transport": "files"})(), BodyFiles)
+
+
 def test_transports_by_name(tmp_path):
     assert isinstance(transport_factory(TARGET)(), HttpTransport)
     assert isinstance(transport_factory({"transport": "transports:Folder", "url": str(tmp_path)})(), Folder)
