@@ -35,7 +35,7 @@ FETCH_SLICES = 1000
 # Groups for each shuffle partition; several even out what the sample misjudges.
 GROUPS_PER_PARTITION = 4
 
-# A group is not made smaller than this: it is what one task sorts without effort.
+# A group is not made smaller than this by default: it is what one task sorts without effort.
 GROUP_ROWS = 50_000
 
 # Sampled rows for each group.
@@ -111,12 +111,13 @@ def page_index(
     keys: list[str] | None = None,
     num_slices: int = 8,
     batch_size: int = DEFAULT_BATCH_SIZE,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """`part_id, page_no, n, first_ms, last_ms` of every page; only time and keys are read."""
     narrow = _rows(df, rng, ts_col, _required(keys), num_slices)
     ms = epoch_ms(F.col("o.t"))
     return (
-        _numbered(narrow, _sampled_guide(narrow))
+        _numbered(narrow, _sampled_guide(narrow, group_rows=group_rows))
         .groupBy(F.col("s").alias("part_id"), whole_div(F.col("rn"), batch_size).alias("page_no"))
         .agg(F.count(F.lit(1)).alias("n"), F.min(ms).alias("first_ms"), F.max(ms).alias("last_ms"))
     )
@@ -129,6 +130,7 @@ def page_batches(
     keys: list[str] | None = None,
     num_slices: int = 8,
     batch_size: int = DEFAULT_BATCH_SIZE,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """`part_id, page_no, batch`: the records of each page as one ordered array of structs.
 
@@ -139,8 +141,8 @@ def page_batches(
     keys = _required(keys)
     narrow = _rows(df, rng, ts_col, keys, num_slices)
     total = narrow.count()
-    size = max(1, -(-total // (_groups(df, total) * batch_size))) * batch_size
-    guide = _page_guide(_numbered(narrow, _sampled_guide(narrow, total)), size, max(1, -(-total // size)))
+    size = max(1, -(-total // (_groups(df, total, group_rows) * batch_size))) * batch_size
+    guide = _page_guide(_numbered(narrow, _sampled_guide(narrow, total, group_rows)), size, max(1, -(-total // size)))
     numbered = _numbered(_rows(df, rng, ts_col, keys, num_slices, record=True), guide)
     return (
         numbered.groupBy("s", "g", whole_div(F.col("rn"), batch_size).alias("page_no"))
@@ -165,9 +167,9 @@ def _rows(
     return in_range(df, rng, ts_col).select(part.cast("bigint").alias("s"), order.alias("o"), *records)
 
 
-def _groups(df: DataFrame, total: int) -> int:
+def _groups(df: DataFrame, total: int, group_rows: int | None = None) -> int:
     most = GROUPS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(most, -(-total // GROUP_ROWS)))
+    return max(1, min(most, -(-total // (group_rows or GROUP_ROWS))))
 
 
 @dataclass(frozen=True)
@@ -183,10 +185,10 @@ class _Guide:
     depth: int
 
 
-def _sampled_guide(narrow: DataFrame, total: int | None = None) -> _Guide | None:
+def _sampled_guide(narrow: DataFrame, total: int | None = None, group_rows: int | None = None) -> _Guide | None:
     """Groups of about equal size, by a sample with SAMPLE_PER_GROUP rows for each; none where a slice is one group."""
     total = narrow.count() if total is None else total
-    wanted = _groups(narrow, total)
+    wanted = _groups(narrow, total, group_rows)
     if wanted == 1:
         return None
     use_checkpoints(narrow.sparkSession)

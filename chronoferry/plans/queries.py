@@ -39,6 +39,8 @@ QUERIES: dict[str, Query] = {}
 
 SLICES = 8
 PAGE_ROWS = 100
+# Smaller than the default, so that small tables have many groups too.
+GROUP_ROWS = 1000
 LINE_KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
 # Bounds used by the range queries; the oracle uses the same.
@@ -228,7 +230,7 @@ def page_fetch_deep(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return paging.page_index(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS)
+    return paging.page_index(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS, GROUP_ROWS)
 
 
 @query
@@ -257,7 +259,7 @@ def page_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS)
+    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS, GROUP_ROWS)
     first, last = F.element_at("batch", 1), F.element_at("batch", -1)
     return batches.select(
         "part_id",
@@ -277,7 +279,7 @@ def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts", F.col("event_id").alias("rn"), F.col("user_id").alias("_pos"), F.col("event_type").alias("_run"),
         F.col("value").alias("page_no"),
     )
-    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["rn"], SLICES, PAGE_ROWS)
+    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["rn"], SLICES, PAGE_ROWS, GROUP_ROWS)
     rows = paging.explode_batches(batches)
     return rows.select(epoch_ms(F.col("ts")).alias("ts_ms"), "rn", "_pos", "_run", "page_no")
 
@@ -285,7 +287,7 @@ def page_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def batch_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS)
+    batches = paging.page_batches(events, ranges.find_range(events), "ts", ["event_id"], SLICES, PAGE_ROWS, GROUP_ROWS)
     return _point_columns(points.to_points(paging.explode_batches(batches), "events"))
 
 
