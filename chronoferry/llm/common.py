@@ -62,10 +62,10 @@ def extended(
 ) -> DataFrame:
     """`docs` with column `name` of type `kind`, made by a Python function of batches of its text column.
 
-    The other columns travel in one struct, so their names don't matter; a column `name` is replaced.
+    The other columns travel in one struct, so their names don't matter; a column `name`, in any case, is replaced.
     """
     prepare(docs.sparkSession)
-    kept = [c for c in docs.columns if c != name]
+    kept = [c for c in docs.columns if c.lower() != name.lower()]
     rows = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("row"), F.col(quoted(text)).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

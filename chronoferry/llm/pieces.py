@@ -352,7 +352,7 @@ def decode(rows: DataFrame, ids_col: str = "ids", model_path: str = DEFAULT_MODE
     """
     prepare(rows.sparkSession)
     shared = rows.sparkSession.sparkContext.broadcast(read_model(model_path))
-    kept = [c for c in rows.columns if c != name]
+    kept = [c for c in rows.columns if c.lower() != name.lower()]
     packed = rows.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("row"), F.col(quoted(ids_col)).alias("ids"))
     schema = T.StructType([packed.schema["row"], T.StructField("made", T.StringType())])
 

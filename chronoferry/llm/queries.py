@@ -26,6 +26,10 @@ from chronoferry.llm import (
 )
 
 
+# The source whose byte counts the token-count query takes back.
+WITHDRAWN = "src5"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -95,7 +99,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Totals by source, language and tokenizer after four batches over all documents: their bytes as
     tokens, estimated tokens, exact tokens that revise the estimates (committed twice), and a deletion of
-    the byte counts of documents without text."""
+    the byte counts of the documents of one source."""
     docs = _table(spark, sf_dir, "documents")
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
     ledger = rollups.Ledger(spark, fresh_folder(spark, "rollups"))
@@ -107,7 +111,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     exact = rollups.changes(exact, "revise", "piece_bpe_32k", F.col("tokens"), F.col("size"), guess, F.col("size"))
     for _ in range(2):
         ledger.commit("exact counts", exact)
-    ledger.commit("without text", rollups.changes(docs.where(size == 0), "delete", "bytes", size, size))
+    ledger.commit("withdrawn", rollups.changes(docs.where(F.col("source") == WITHDRAWN), "delete", "bytes", size, size))
     return ledger.totals()
 
 

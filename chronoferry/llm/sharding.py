@@ -91,7 +91,7 @@ def sharded(
 
     The buckets, one after the other, give each row a number in the whole; shard s has an equal stretch of
     those numbers. Null texts have no bytes, repeated rows are rows of their own, an empty table stays
-    empty. Columns of the same names are replaced.
+    empty. Columns of the same names, in any case, are replaced.
     """
     rows, _ = shuffle(docs, id_col, text_col, seed, bucket_bytes)
     # One row of 16 bytes for each bucket: the rows in front of it. Small enough for every executor, as a
@@ -107,7 +107,7 @@ def sharded(
         F.lit(large) + F.expr(f"(number - {edge}) div {max(small, 1)}")
     )
     slot = F.when(F.col("number") < edge, F.expr(f"number % {small + 1}")).otherwise(F.expr(f"(number - {edge}) % {max(small, 1)}"))
-    kept = [c for c in docs.columns if c not in ("shard_size", "shard", "slot")]
+    kept = [c for c in docs.columns if c.lower() not in ("shard_size", "shard", "slot")]
     return numbered.select(
         *[F.col(f"row.{quoted(c)}").alias(c) for c in kept],
         F.col("size").alias("shard_size"),

@@ -22,7 +22,11 @@ SEQUENCE = 4096
 SHARD_ROWS = 2048
 KEY = 0x5EED_0F_0DE2
 ROUNDS = 4
-CHUNK = 4 << 20
+# How hard records are compressed on their way to the shards.
+PRESS = 1
+CHUNK = 2 << 20
+# Shuffle partitions that write shards at most; each of them writes several where there are more shards.
+WRITERS = 20_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -53,14 +57,19 @@ def permuted(index: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
 
 
 def sequences(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", model_path: str = DEFAULT_MODEL, length: int = SEQUENCE
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    model_path: str = DEFAULT_MODEL,
+    length: int = SEQUENCE,
+    packed: bool = False,
 ) -> DataFrame:
     """(part, number, n_tokens, doc_ids, record): the tokens of each input partition, one text after the
     other with an end sign after each, cut into sequences of `length`.
 
     A record has `length` ids of 2 or 4 bytes; the last of a partition is filled up with end signs, which
     n_tokens doesn't count. doc_ids are the ids of the texts that a sequence has tokens of, in order. Null and
-    empty texts are an end sign alone.
+    empty texts are an end sign alone. `packed` records are compressed, for storing and shuffling (see `unpacked`).
     """
     prepare(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
@@ -69,6 +78,7 @@ def sequences(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = loaded(shared.value)
         kind = token_kind(tokenizer.size)
+        press = zstandard.ZstdCompressor(level=PRESS)
         part, number = TaskContext.get().partitionId(), 0
         rest, owners = np.empty(0, kind), np.empty(0, np.int64)
         ids: list[int | None] = []
@@ -83,7 +93,7 @@ def sequences(
                 docs_of.append([ids[k] for k in owner[np.flatnonzero(np.diff(owner, prepend=-1))].tolist()])
                 if len(piece) < length:
                     piece = np.concatenate([piece, np.full(length - len(piece), tokenizer.end, kind)])
-                records.append(piece.tobytes())
+                records.append(press.compress(piece.tobytes()) if packed else piece.tobytes())
             first, number = number, number + len(many)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(many), pa.int32()), pa.array(range(first, number), pa.int64()), pa.array(many, pa.int32()),
@@ -139,7 +149,8 @@ def materialise(
     """
     spark = docs.sparkSession
     stored = fresh_folder(spark, "sequences")
-    sequences(docs, id_col, text_col, model_path, length).write.option("compression", "zstd").parquet(stored)
+    # Records are compressed once, by the task that makes them, and stay so up to their shard.
+    sequences(docs, id_col, text_col, model_path, length, packed=True).write.option("compression", "none").parquet(stored)
     rows = spark.read.parquet(stored)
     # One row of 16 bytes for each input partition: the sequences in front of it. Every executor can hold them.
     fronts = rows.groupBy("part").agg(F.count("*").alias("n")).select(
@@ -155,7 +166,9 @@ def materialise(
     placed = placed.withColumn("shard", F.expr(f"slot div {shard_rows}").cast("int"))
     size = len(np.empty(length, token_kind(loaded(read_model(model_path)).size)).tobytes())
     shards = max(1, -(-count // shard_rows))
-    dealt = placed.select("shard", "slot", packed(F.col("record")).alias("record")).repartitionById(shards, F.col("shard"))
+    each = -(-shards // WRITERS)
+    writer = F.floor(F.col("shard") / each).cast("int")
+    dealt = placed.select("shard", "slot", "record").repartitionById(-(-shards // each), writer)
     ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", unpacked(F.col("record")).cast("string").alias("value"))
     ordered.write.partitionBy("shard").option("lineSep", "\n").text(folder)
     return placed.select(
@@ -163,15 +176,9 @@ def materialise(
     )
 
 
-@arrow_udf(T.BinaryType())
-def packed(records: pa.Array) -> pa.Array:
-    """Records smaller, for the way through the shuffle."""
-    press = zstandard.ZstdCompressor(level=3)
-    return pa.array([press.compress(r) for r in records.to_pylist()], pa.binary())
-
-
 @arrow_udf(T.BinaryType())
 def unpacked(records: pa.Array) -> pa.Array:
+    """Records as they are in a shard."""
     press = zstandard.ZstdDecompressor()
     return pa.array([press.decompress(r) for r in records.to_pylist()], pa.binary())
 

@@ -215,3 +215,10 @@ def test_packed_numbers():
     numbers = np.array([0, 1, 70_000, 2**30, 5], np.int32)
     assert language_model.unpressed(language_model.pressed(numbers)).tolist() == numbers.tolist()
     assert SMALL
+
+
+def test_names_in_another_case_are_replaced(odd):
+    coded = pieces.encode(odd.withColumnRenamed("ids", "IDS").withColumnRenamed("row", "Decoded"))
+    back = pieces.decode(coded)
+    assert [c for c in back.columns if c.lower() in ("ids", "decoded")] == ["ids", "decoded"]
+    assert all(r.decoded == (r.text or "").replace("▁", " ") for r in back.collect())
