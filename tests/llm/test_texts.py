@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from sentencepiece import SentencePieceProcessor
 
 from chronoferry.llm import decontaminate, language_model, licences, pieces, quality
@@ -143,25 +144,97 @@ def test_quality_of_odd_rows(spark, odd, nothing):
     assert len(empty) == 1
 
 
-def test_licences(spark, odd, nothing):
-    lines = [t for _, t in licences.TEMPLATES] + licences.OTHERS + ["nothing here", "LICENSED UNDER THE APACHE LICENSE, VERSION 2.0"]
-    docs = [(0, "\n".join(lines)), (1, None), (2, ""), (3, "first\r\nreleased under the mit license"), (None, lines[0]), (4, lines[0]), (4, lines[0])]
-    got = licences.scan(spark.createDataFrame(docs, "doc_id long, text string")).collect()
-    whole = {r.paragraph: r for r in got if r.id == 0}
+def judged(notice):
+    """Family, probability and similarity of a paragraph, None if it isn't shown, in plain Python."""
     model = licences.trained()
-    for k, line in enumerate(lines):
-        grams = licences.grams_of(licences.words_of(line)) & set(model.weights)
-        scores = np.array(model.bias) + (sum(np.array(model.weights[g]) for g in grams) / np.sqrt(len(grams)) if grams else 0)
-        chance = licences.softmax(scores[None])[0]
-        family = model.families[chance.argmax()]
-        if family == licences.UNKNOWN or chance.max() < licences.CONFIDENCE:
-            assert k not in whole
-        else:
-            assert (whole[k].family, whole[k].notice) == (family, line) and whole[k].probability == pytest.approx(chance.max())
-    for k, (family, template) in enumerate(licences.TEMPLATES):
-        assert whole[k].family == family and whole[k].confirmed and whole[k].similarity == 1
-    assert not any(k in whole for k in range(len(licences.TEMPLATES), len(lines) - 1)) and whole[len(lines) - 1].family == "Apache"
-    assert sorted((-1 if r.id is None else r.id, r.paragraph) for r in got if r.id != 0) == [(-1, 0), (3, 1), (4, 0), (4, 0)]
+    grams = licences.grams_of(licences.words_of(notice)) & model.weights.keys()
+    if not grams:
+        return None
+    scores = np.array(model.bias) + np.sum([model.weights[g] for g in grams], axis=0) / np.sqrt(len(grams))
+    chance = licences.softmax(scores[None])[0]
+    best = int(chance[:-2].argmax())
+    if chance[best] >= licences.CONFIDENCE:
+        family, p = model.families[best], chance[best]
+    elif 1 - chance[-1] >= licences.WORTH_SHOWING:
+        family, p = licences.UNKNOWN, chance[-2]
+    else:
+        return None
+    own = [licences.grams_of(licences.words_of(t)) & model.weights.keys() for f, t in licences.templates() if f == family]
+    return family, float(p), max((len(g & grams) / len(g) for g in own if g), default=0.0)
+
+
+def test_licences_by_hand(spark, documents):
+    """Every paragraph of all documents, and of all templates and other sentences."""
+    sentences = [t for _, t in licences.templates()] + licences.OTHERS
+    rows = [(r.doc_id, r.text) for r in documents.collect()] + [(10_000 + k, t) for k, t in enumerate(sentences)]
+    want = {}
+    for doc, text in rows:
+        for k, notice in enumerate(regex.split(licences.PARAGRAPHS, text)):
+            if (found := judged(notice)) is not None:
+                want[doc, k] = (notice, *found)
+    got = licences.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.id, r.paragraph) for r in got} == set(want)
+    for r in got:
+        notice, family, p, share = want[r.id, r.paragraph]
+        assert (r.notice, r.family, r.confirmed) == (notice, family, share >= licences.CONFIRMED)
+        assert r.probability == pytest.approx(p) and r.similarity == pytest.approx(share)
+    shown = {r.id: r for r in got}
+    for k, (family, _) in enumerate(licences.templates()):
+        assert (shown[10_000 + k].family, shown[10_000 + k].confirmed) == (family, True)
+    assert not any(10_000 + k in shown for k in range(len(licences.templates()), len(sentences)))
+
+
+@pytest.mark.parametrize(
+    "text, family",
+    [
+        ("All rights reserved.", "All rights reserved"),
+        ("Copyright 2020 Foo Inc. All rights reserved.", "All rights reserved"),
+        ("GPLv3 or later", "GPL"),
+        ("Apache-2.0", "Apache"),
+        ("Dual MIT/GPL", "MIT or GPL"),
+        ("Licensed under the zlib license", "Zlib"),
+        ("Distributed under the Boost Software License", "Boost"),
+        ("Licensed under the Eclipse Public License 2.0", "EPL"),
+        ("CC BY-ND 4.0", "CC-BY-ND"),
+        ('THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND', "MIT"),
+        ("This file is licensed under the terms of the MIT license", "MIT"),
+        ("# This program is free software; you can redistribute it and/or modify\n# it under the terms of the GNU General Public\n# License as published by the Free Software Foundation", "GPL"),
+        ("LICENSED UNDER THE APACHE LICENSE, VERSION 2.0", "Apache"),
+        # Licences without a family.
+        ("Licensed under the Frobnicate Public License", "unknown"),
+        ("Released under the Xyzzy Source License, version 9", "unknown"),
+        # No notices.
+        ("Permission is hereby granted, free of", None),
+        ("The judge granted him permission to sell copies of the book.", None),
+        ("He has a license for his dog.", None),
+        ("Wir fahren mit der Bahn und mit dem Bus.", None),
+        ("Open source software is used in all companies.", None),
+        ("", None),
+    ],
+)
+def test_licence_wording(text, family):
+    words = regex.split(licences.PARAGRAPHS, text)
+    assert len(words) == 1
+    found = judged(text)
+    assert (found and found[0]) == family
+
+
+def test_licences_in_paragraphs(spark):
+    lines = ["Released under the", "MIT License.", "Some words here.", "", "CC BY-ND 4.0", "", "  ", "All rights", "reserved.", "end"]
+    for ending in ("\n", "\r\n", "\r"):
+        got = licences.scan(spark.createDataFrame([(1, ending.join(lines))], "doc_id long, text string")).collect()
+        assert sorted((r.paragraph, r.family, r.notice) for r in got) == [
+            (0, "MIT", f"Released under the{ending}MIT License."), (2, "CC-BY-ND", "CC BY-ND 4.0"), (3, "All rights reserved", f"All rights{ending}reserved.")
+        ]
+
+
+def test_licences_of_odd_rows(spark, odd, nothing):
+    notice = "Released under the MIT License."
+    docs = [(1, None, ""), (2, "", ""), (3, "first.\r\n" + notice, "x"), (None, notice, "x"), (4, notice, "x"), (4, notice, "x"),
+            (5, "word " * 20_000 + "\n\n" + notice, "x")]
+    got = licences.scan(spark.createDataFrame(docs, "doc_id long, text string, FAMILY string")).collect()
+    assert sorted((-1 if r.id is None else r.id, r.paragraph, r.family) for r in got) == [
+        (-1, 0, "MIT"), (3, 1, "MIT"), (4, 0, "MIT"), (4, 0, "MIT"), (5, 1, "MIT")]
     assert licences.scan(odd).count() == 0 and licences.scan(nothing).count() == 0
     plan = licences.scan(odd)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan)
