@@ -322,19 +322,25 @@ def scan(
     parts = rows.select(
         "id", F.monotonically_increasing_id().alias("row"), F.posexplode(F.split("text", PARAGRAPHS)).alias("paragraph", "notice")
     )
-    words = parts.withColumn("words", F.split(F.lower("notice"), WORDS))
+    # A column of its own: inside the n-grams it would be made again for each of them.
+    words = parts.withColumn("words", F.array_remove(F.split(F.lower("notice"), WORDS), ""))
     # Every n-gram with a weight has one of these words: the words of the templates, but for the commonest.
     told = words.where(F.arrays_overlap("words", F.array(*map(F.lit, model.telling))))
-    marked = told.select("id", "row", "paragraph", "notice", ngrams(F.array_remove("words", "")).alias("grams"))
-    table = json.dumps([{"gram": g, "w": w} for g, w in sorted(model.weights.items())])
+    # The notice travels once, beside a sign that is no n-gram, and not with each of them.
+    sign = F.struct(F.lit("").alias("gram"), "notice")
+    others = F.transform(ngrams(F.col("words")), lambda g: F.struct(g.alias("gram"), F.lit(None).cast("string").alias("notice")))
+    marked = told.select("id", "row", "paragraph", F.inline(F.concat(F.array(sign), others)))
+    nothing = {"": [0.0] * len(model.families)}
+    table = json.dumps([{"gram": g, "w": w} for g, w in sorted((nothing | model.weights).items())])
     # The classifier's own n-grams: as many as the templates have.
     weights = spark.range(1).select(F.inline(F.from_json(F.lit(table), "array<struct<gram string, w array<double>>>")))
-    sums = [(F.sum(F.col("w")[k]) / F.sqrt(F.count("*"))).alias(f"s{k}") for k in range(len(model.families))]
+    count = F.sqrt(F.greatest(F.count_if(F.col("gram") != ""), F.lit(1)))
+    sums = [(F.sum(F.col("w")[k]) / count).alias(f"s{k}") for k in range(len(model.families))]
     scored = (
-        marked.select("row", "paragraph", "id", "notice", F.explode("grams").alias("gram"))
-        .join(F.broadcast(weights), "gram")
+        marked.join(F.broadcast(weights), "gram")
         .groupBy("row", "paragraph")
-        .agg(F.first("id").alias("id"), F.first("notice").alias("notice"), F.collect_set("gram").alias("grams"), *sums)
+        .agg(F.first("id").alias("id"), F.max("notice").alias("notice"), F.collect_set("gram").alias("grams"), *sums)
+        .where(F.size("grams") > 1)
     )
     scores = F.array(*[F.col(f"s{k}") + F.lit(bias) for k, bias in enumerate(model.bias)])
     scored = scored.select("row", "paragraph", "id", "notice", "grams", scores.alias("scores"))
