@@ -237,7 +237,7 @@ def test_licences_of_odd_rows(spark, odd, nothing):
         (-1, 0, "MIT"), (3, 1, "MIT"), (4, 0, "MIT"), (4, 0, "MIT"), (5, 1, "MIT")]
     assert licences.scan(odd).count() == 0 and licences.scan(nothing).count() == 0
     plan = licences.scan(odd)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    assert not re.search("InArrow|EvalPython|InPandas|PythonUDF|ArrowUDF", plan)
 
 
 def brute_counts(docs):
