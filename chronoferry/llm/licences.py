@@ -161,7 +161,7 @@ COMMON = frozenset(
     "a an and any all are as at be been being but by can do each either even event except for from he her him his i if in into is it its "
     "law long may me more must my name no not of on one only or other our own part place she should so some such than that the their "
     "them then there these they this those to two under up us via was we were what where which will with without you your "
-    "mit die der das und la le les des en et de du un une que el y".split()
+    "here see rent s nd nc sa mit die der das dem und la le les des en et de du un une que el y".split()
 )
 LENGTHS = (1, 2, 3, 4)
 
@@ -278,7 +278,9 @@ def trained() -> Classifier:
     # What is the same for all families moves no prediction, and neither do n-grams without any leaning.
     keep = np.flatnonzero(np.abs(w - w.mean(axis=1, keepdims=True)).max(axis=1) > 1e-3)
     weights = {grams[k]: w[k].round(4).tolist() for k in keep.tolist()}
-    telling = sorted({word for g in weights for word in g.split(" ") if is_telling(word)})
+    # What has no word of any template can be nothing but NONE.
+    telling = sorted({word for g in weights for word in g.split(" ")} & set(words_of(" ".join(t for _, t in templates()))) - COMMON)
+    telling = [word for word in telling if is_telling(word)]
     return Classifier(families, weights, (b / heat).round(4).tolist(), telling)
 
 
@@ -360,12 +362,16 @@ def scan(
     texts = [
         {"family": f, "template": t, "grams": sorted(grams_of(words_of(t)) & model.weights.keys())} for f, t in templates()
     ]
-    known = F.from_json(F.lit(json.dumps(texts)), "array<struct<family string, template string, grams array<string>>>")
+    kind = "array<struct<family string, template string, grams array<string>>>"
+    listed = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(texts)), kind))).where(F.size("grams") > 0)
+    # One row for each family.
+    known = listed.groupBy("family").agg(F.collect_list(F.struct("template", F.col("grams").alias("own"))).alias("templates"))
     likeness = F.transform(
-        F.filter(known, lambda t: (t["family"] == F.col("family")) & (F.size(t["grams"]) > 0)),
-        lambda t: F.struct((F.size(F.array_intersect(t["grams"], F.col("grams"))) / F.size(t["grams"])).alias("share"), t["template"].alias("template")),
+        "templates",
+        lambda t: F.struct((F.size(F.array_intersect(t["own"], F.col("grams"))) / F.size(t["own"])).alias("share"), t["template"].alias("template")),
     )
-    alike = best.withColumn("alike", F.array_max(likeness))
+    # A generated column is computed once, where a projected one is repeated for every use of it.
+    alike = best.join(F.broadcast(known), "family", "left").select("*", F.explode(F.array(F.array_max(likeness))).alias("alike"))
     return alike.select(
         "id",
         "paragraph",
