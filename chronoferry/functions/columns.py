@@ -21,6 +21,11 @@ def field_of(struct: str, name: str) -> Column:
     return F.col(struct).getField(name)
 
 
+def project(rows: DataFrame, columns: tuple[str, ...] | None) -> DataFrame:
+    """The columns of these literal names, or all."""
+    return rows.select(*(named(c) for c in columns)) if columns else rows
+
+
 def check_time_column(df: DataFrame, ts_col: str) -> T.DataType:
     """Type of the time column; its name must match exactly, letter case included."""
     if ts_col not in df.columns:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from chronoferry.config import MoveOptions
+from chronoferry.functions.columns import project
 from chronoferry.functions.line import is_writable, line_of
 from chronoferry.operators.merge import Packing, merge_points
 from chronoferry.operators.points import lost_values, rejected_rows, to_points
@@ -76,7 +77,7 @@ def migrate_jdbc(
     else:
         slices = slice_ranges(rng, options.num_slices)
     sizes = dict(enumerate(jdbc.slice_rows(spark, source, slices)))
-    rows = jdbc.project(jdbc.read_jdbc(spark, source, slices), needed_columns(options))
+    rows = project(jdbc.read_jdbc(spark, source, slices), needed_columns(options))
     return _copy(rows, rng, sink, options, rejected, sizes)
 
 

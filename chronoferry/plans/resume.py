@@ -26,6 +26,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 from chronoferry.config import MILESTONE_BATCHES, MoveOptions
+from chronoferry.functions.columns import project
 from chronoferry.functions.timestamps import instant_text
 from chronoferry.operators.logs import progress_messages
 from chronoferry.operators.merge import Packing, find_packing
@@ -134,7 +135,7 @@ def migrate_jdbc_resumable(
         return Plan(rng, slice_ranges(rng, options.num_slices))
 
     def read(rng: TimeRange) -> DataFrame:
-        return jdbc.project(jdbc.read_jdbc(spark, source, slice_ranges(rng, tasks_per_slice)), needed_columns(options))
+        return project(jdbc.read_jdbc(spark, source, slice_ranges(rng, tasks_per_slice)), needed_columns(options))
 
     return _run(spark, target, options, cut, read, compression, at_once, log_folder)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chronoferry.functions.columns import named
+from chronoferry.functions.columns import project
 from chronoferry.operators.ranges import TimeRange, in_range
 
 
@@ -15,5 +15,4 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet", schema: str
 
 def scan(df: DataFrame, rng: TimeRange | None, ts_col: str = "ts", columns: tuple[str, ...] | None = None) -> DataFrame:
     """Rows of the range, all columns or those named; filter and pruning reach the files."""
-    rows = in_range(df, rng, ts_col)
-    return rows.select(*(named(c) for c in columns)) if columns else rows
+    return project(in_range(df, rng, ts_col), columns)

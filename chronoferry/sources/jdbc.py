@@ -21,7 +21,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronoferry.config import DEFAULT_BATCH_SIZE, DEFAULT_SLICES, DEFAULT_TIME_COLUMN
-from chronoferry.functions.columns import named
 from chronoferry.functions.timestamps import epoch_us
 from chronoferry.operators.ranges import TimeRange, parse_bounds
 from chronoferry.operators.slices import even_slices, slice_ranges
@@ -172,11 +171,6 @@ def count_untimed(spark: SparkSession, source: JdbcSource) -> int:
     return int(_load(spark, source, count_query(source, [condition])).first()[1])
 
 
-def project(rows: DataFrame, columns: tuple[str, ...] | None) -> DataFrame:
-    """The named columns, or all; names are exact."""
-    return rows.select(*(named(c) for c in columns)) if columns else rows
-
-
 def quoted_name(spark: SparkSession, source: JdbcSource, name: str) -> str:
     """A column's name as the database wants it."""
     if source.quote is not None:

@@ -12,9 +12,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from chronoferry.config import MoveOptions
+from chronoferry.functions.columns import project
 from chronoferry.operators.points import rejected_rows
 from chronoferry.operators.ranges import between, parse_bounds
-from chronoferry.plans.migrate import observed_lines, reject
+from chronoferry.plans.migrate import needed_columns, observed_lines, reject
 from chronoferry.streaming.copy import start_stream
 
 BATCH = "batch_id"
@@ -38,9 +39,7 @@ def copy_with_rejects(
 
     def both(batch: DataFrame, batch_id: int) -> None:
         rows = batch.where(between(batch, options.ts_col, start_us, end_us))
-        if options.columns:
-            rows = rows.select(*options.columns)
-        lines, _ = observed_lines(rows, options)
+        lines, _ = observed_lines(project(rows, needed_columns(options)), options)
         lines.write.mode("overwrite").option("compression", compression).text(f"{target}/{BATCH}={batch_id}")
         refused = f"{rejects}/{BATCH}={batch_id}"
         reject(rejected_rows(batch, options.ts_col), lambda r: r.write.mode("overwrite").json(refused))

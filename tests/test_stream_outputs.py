@@ -131,3 +131,15 @@ def test_progress_lines_of_a_stream(spark, events, tmp_path):
     first = events.agg(F.min("ts").cast("string")).first()[0]
     assert min(r.slice_start for r in progress) == first
     assert [r.value.split(":")[0] for r in logs.last_problem_lines(read).collect()] == ["ERROR the stream ended"]
+
+
+def test_merging_within_a_batch_by_columns_that_are_not_copied(spark, events, tmp_path):
+    doubled = events.select("ts", F.col("value").alias("a.b"), F.col("event_id").alias("order")).union(
+        events.select("ts", F.lit(-1.0), F.lit(-1)))
+    doubled.coalesce(1).write.parquet(str(tmp_path / "in"))
+    options = MoveOptions("e", columns=("ts", "a.b"), merge_by=("order",))
+    stream = stream_files(spark, str(tmp_path / "in"), doubled.schema)
+    copy_with_rejects(stream, f"{tmp_path}/out", f"{tmp_path}/no", f"{tmp_path}/cp", options).awaitTermination()
+    got = spark.read.text(f"{tmp_path}/out").select("value")
+    want = to_lines(to_points(events.select("ts", F.col("value").alias("a.b")), "e"))
+    assert got.count() == events.count() and got.exceptAll(want).count() == 0
