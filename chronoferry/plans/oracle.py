@@ -323,6 +323,12 @@ ORACLE: dict[str, str] = {
         SELECT {_text("lo_us")} AS slice_start, {_text("hi_us")} AS slice_end, count(s.part_id) AS records, true AS done,
                1 + count(s.part_id) // {q.PAGE_ROWS * 10} AS reports
         FROM e LEFT JOIN s USING (part_id) GROUP BY ALL""",
+    "log_job_problems": f"""
+        WITH {_sliced("lineitem", "l_shipdate")}, {_edges()},
+        n AS (SELECT part_id, count(*) // {q.PAGE_ROWS * 10} AS reports FROM s WHERE part_id < {q.FAILING_SLICE} GROUP BY part_id)
+        SELECT 'ERROR Error in time partition ' || {_text("lo_us")} || ' to ' || {_text("hi_us")} || ': SparkRuntimeException' AS value,
+               (SELECT sum(reports)::BIGINT FROM n) AS reports
+        FROM e WHERE part_id = {q.FAILING_SLICE}""",
     "log_follow": f"""
         WITH {_LOG_LINES} SELECT value FROM logs WHERE regexp_matches(value, '(?i)error|warn|exception')""",
     "log_follow_growing": f"""

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -34,6 +36,8 @@ from chronoferry.streaming import (
     stream_files,
 )
 
+log = logging.getLogger(__name__)
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -504,9 +508,7 @@ def migrate_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = table(spark, sf_dir, "lineitem")
     target = fresh_folder(spark, "resumed")
     options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=SLICES)
-    edge = slices.slice_ranges(ranges.find_range(lineitem, "l_shipdate"), SLICES)[FAILING_SLICE].lo_us
-    lost = F.when(epoch_us(F.col("l_shipdate")) >= edge, F.raise_error(F.lit("the source is lost")))
-    states = [lineitem.withColumn("l_tax", lost.otherwise(F.col("l_tax"))), lineitem]
+    states = [_lost_from(lineitem, FAILING_SLICE), lineitem]
     report = restarted(lambda: migrate_resumable(states.pop(0), target, options), delay_s=0)
     run = F.when(F.col("part_id").isin(*report.copied), 2).otherwise(1).cast("bigint").alias("run")
     lines = read_files(spark, target, "text").select(F.col("value").alias("line"), run)
@@ -600,6 +602,21 @@ def log_from_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return logs.latest_progress(lines).drop("pos").join(reports, ["slice_start", "slice_end"])
 
 
+@query
+def log_job_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a copy that failed in slice 5 wrote of it, and how many lines of progress stand beside."""
+    lineitem = table(spark, sf_dir, "lineitem")
+    folder = fresh_folder(spark, "job")
+    options = MoveOptions("lineitem", ts_col="l_shipdate", num_slices=SLICES, batch_size=PAGE_ROWS)
+    try:
+        migrate_resumable(_lost_from(lineitem, FAILING_SLICE), f"{folder}/lines", options, log_folder=f"{folder}/logs")
+    except SparkRuntimeException as failure:
+        log.info("the copy failed, as it should: %s", failure)
+    lines = logs.read_logs(spark, f"{folder}/logs")
+    reports = lines.where(F.contains("value", F.lit(logs.PROGRESS_WORD))).count()
+    return logs.last_problem_lines(lines).select("value", _big(reports).alias("reports"))
+
+
 @query
 def log_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fresh_folder(spark, "logs")
@@ -704,6 +721,13 @@ def _page(lineitem: DataFrame, limit: int, offset: int) -> DataFrame:
     return page.select(epoch_ms(F.col("l_shipdate")).alias("ts_ms"), *keys, *others)
 
 
+def _lost_from(lineitem: DataFrame, k: int) -> DataFrame:
+    """The same table, which fails to be read from slice k on."""
+    edge = slices.slice_ranges(ranges.find_range(lineitem, "l_shipdate"), SLICES)[k].lo_us
+    lost = F.when(epoch_us(F.col("l_shipdate")) >= edge, F.raise_error(F.lit("the source is lost")))
+    return lineitem.withColumn("l_tax", lost.otherwise(F.col("l_tax")))
+
+
 def _crowded(lineitem: DataFrame) -> DataFrame:
     """Two thirds of the rows moved into a thousandth of the range: second by second instead of day by day."""
     us, number = epoch_us(F.col("l_shipdate")), F.col("l_orderkey") * 10 + F.col("l_linenumber")
