@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
 from dataclasses import dataclass
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 # The defaults a user of the migration job already knows.
@@ -110,6 +112,13 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
+def pickle_whole(*names: str) -> None:
+    """Let classes of these modules travel with their code. Spark plans streaming sources and sinks of Python in
+    processes beside the driver that don't get the package."""
+    for name in names:
+        cloudpickle.register_pickle_by_value(sys.modules[name])
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the work folder that no earlier run has used."""
     return os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}")

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader
 
-from chronoferry.config import ship_package
+from chronoferry.config import pickle_whole, ship_package
 from chronoferry.sources.pieces import Piece, cut, open_folder, read_lines, sizes
 
 FORMAT = "growinglines"
@@ -63,5 +63,6 @@ class GrowingLines(DataSource):
 def growing_lines(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """`file, value` of every whole line of the files below a path, as a stream."""
     ship_package(spark)
+    pickle_whole(__name__, "chronoferry.sources.pieces")
     spark.dataSource.register(GrowingLines)
     return spark.readStream.format(FORMAT).option("pattern", pattern).load(path)

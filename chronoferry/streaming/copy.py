@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from chronoferry.config import RESTART_ATTEMPTS, RESTART_DELAY_S, ship_package
+from chronoferry.config import RESTART_ATTEMPTS, RESTART_DELAY_S, pickle_whole, ship_package
 from chronoferry.functions.line import to_lines
 from chronoferry.restart import restarted
 from chronoferry.sinks.endpoint import FORMAT, LineEndpoint
@@ -48,6 +48,7 @@ def copy_to_endpoint(
 ) -> StreamingQuery:
     """Send the points of a stream to a line-protocol endpoint, at least once each."""
     ship_package(points.sparkSession)
+    pickle_whole("chronoferry.sinks.endpoint", "chronoferry.sinks.transport")
     points.sparkSession.dataSource.register(LineEndpoint)
     return start_stream(to_lines(points).writeStream.format(FORMAT).options(**options), checkpoint, interval)
 
