@@ -92,8 +92,6 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         parser.error("--target-url needs --target-token-file, --target-org and --target-bucket")
     if args.resumable and not args.target_files:
         parser.error("--resumable needs --target-files; an endpoint takes equal points again without harm")
-    if args.resumable and args.rejects:
-        parser.error("--rejects is for jobs that are not --resumable")
     return args
 
 
@@ -133,7 +131,9 @@ def run(args: argparse.Namespace) -> MoveReport | ResumeReport:
             literal=args.source_literal,
         )
     if args.resumable:
-        how = {"compression": args.compression, "at_once": args.at_once, "log_folder": args.log_folder}
+        how = {
+            "compression": args.compression, "at_once": args.at_once, "log_folder": args.log_folder, "rejects": args.rejects,
+        }
 
         def copy() -> ResumeReport:
             if source:

@@ -6,6 +6,7 @@ A run plans only the slices without such a file; what a stopped run left of a sl
 
     target/_manifest/plan.json       range, slices, and the options that shape the lines
     target/_manifest/slice-00003     what the slice held
+    target/_manifest/rejected        how many rows have no usable time
     target/part_id=3/                its lines
 
 Slices read only their part of the table where it is stored by time; a table that isn't is scanned once for
@@ -30,11 +31,11 @@ from chronoferry.functions.columns import project
 from chronoferry.functions.timestamps import instant_text
 from chronoferry.operators.logs import progress_messages
 from chronoferry.operators.merge import Packing, find_packing
-from chronoferry.operators.points import to_points
+from chronoferry.operators.points import rejected_rows, to_points
 from chronoferry.operators.ranges import TimeRange, find_range
 from chronoferry.operators.slices import slice_ranges, weighted_slices
-from chronoferry.plans.migrate import needed_columns, observed_lines
-from chronoferry.sinks import line_files
+from chronoferry.plans.migrate import needed_columns, observed_lines, reject
+from chronoferry.sinks import Sink, line_files
 from chronoferry.sinks.folder import SharedFolder
 from chronoferry.sources import jdbc
 from chronoferry.sources.files import scan
@@ -42,7 +43,7 @@ from chronoferry.sources.jdbc import JdbcSource
 
 log = logging.getLogger(__name__)
 
-MANIFEST, PLAN = "_manifest", "_manifest/plan.json"
+MANIFEST, PLAN, REJECTED = "_manifest", "_manifest/plan.json", "rejected"
 STAGING = "_staging"
 
 
@@ -66,6 +67,7 @@ class ResumeReport:
     range: TimeRange | None
     slices: dict[int, SliceDone]
     copied: tuple[int, ...]
+    rejected: int = 0
 
     @property
     def read(self) -> int:
@@ -91,11 +93,13 @@ def migrate_resumable(
     compression: str = "none",
     at_once: int = 1,
     log_folder: str | None = None,
+    rejects: str | None = None,
 ) -> ResumeReport:
     """Copy a table, slice by slice, of equal width or with `even_slices` of about equal row counts.
 
     `at_once` slices run side by side. With `log_folder` the job writes its progress there: for every slice
     that is done a line each ten batches and one at its end, and one for a slice that failed.
+    Rows without a usable time are counted by the first run that gets so far, and written below `rejects` as JSON.
     The first failure ends the run after the slices that are under way; another run goes on.
     """
     spark = df.sparkSession
@@ -111,7 +115,10 @@ def migrate_resumable(
     def read(rng: TimeRange) -> DataFrame:
         return scan(df, rng, options.ts_col, needed_columns(options))
 
-    return _run(spark, target, options, cut, read, compression, at_once, log_folder)
+    def refuse() -> int:
+        return reject(rejected_rows(df, options.ts_col), _json_files(rejects))
+
+    return _run(spark, target, options, cut, read, refuse, compression, at_once, log_folder)
 
 
 def migrate_jdbc_resumable(
@@ -122,6 +129,7 @@ def migrate_jdbc_resumable(
     compression: str = "none",
     at_once: int = 1,
     log_folder: str | None = None,
+    rejects: str | None = None,
     tasks_per_slice: int = 1,
 ) -> ResumeReport:
     """The same for a JDBC table; a slice is read by `tasks_per_slice` connections."""
@@ -137,7 +145,12 @@ def migrate_jdbc_resumable(
     def read(rng: TimeRange) -> DataFrame:
         return project(jdbc.read_jdbc(spark, source, slice_ranges(rng, tasks_per_slice)), needed_columns(options))
 
-    return _run(spark, target, options, cut, read, compression, at_once, log_folder)
+    def refuse() -> int:
+        if rejects is None:
+            return jdbc.count_untimed(spark, source)
+        return reject(rejected_rows(jdbc.read_untimed(spark, source), options.ts_col), _json_files(rejects))
+
+    return _run(spark, target, options, cut, read, refuse, compression, at_once, log_folder)
 
 
 def copied_lines(spark: SparkSession, target: str) -> DataFrame:
@@ -155,14 +168,18 @@ def _run(
     options: MoveOptions,
     cut: Callable[[], Plan],
     read: Callable[[TimeRange], DataFrame],
+    refuse: Callable[[], int],
     compression: str,
     at_once: int,
     log_folder: str | None,
 ) -> ResumeReport:
     folder = SharedFolder(spark, target)
     plan = _plan(folder, options, cut)
+    if REJECTED not in folder.names(MANIFEST):
+        folder.write(f"{MANIFEST}/{REJECTED}", [str(refuse())])
+    rejected = int(folder.read(f"{MANIFEST}/{REJECTED}"))
     if plan.range is None:
-        return ResumeReport(None, {}, ())
+        return ResumeReport(None, {}, (), rejected)
     done = _committed(folder)
     pending = [k for k in range(len(plan.slices)) if k not in done]
     packing = _packing(read(plan.range), options) if pending and options.merge_by else None
@@ -190,7 +207,7 @@ def _run(
         runs = [pool.submit(inheritable_thread_target(spark)(copy), k) for k in pending]
     for run in runs:
         run.result()
-    return ResumeReport(plan.range, _committed(folder), tuple(pending))
+    return ResumeReport(plan.range, _committed(folder), tuple(pending), rejected)
 
 
 def _copy_slice(
@@ -238,5 +255,10 @@ def _committed(folder: SharedFolder) -> dict[int, SliceDone]:
     return {entry.part_id: entry for entry in entries}
 
 
+def _json_files(path: str | None) -> Sink | None:
+    """A sink that replaces what a run left that died while writing."""
+    return None if path is None else lambda rows: rows.write.mode("overwrite").json(path)
+
+
 def _packing(rows: DataFrame, options: MoveOptions) -> Packing | None:
     return find_packing(to_points(rows, options.measurement, options.ts_col, options.decimal, options.nested, options.merge_by))

@@ -60,7 +60,6 @@ def test_jdbc_arguments(spark, events, tmp_path, monkeypatch):
         ["--source-files", "x", "--target-files", "y"],
         ["--source-files", "x", "--target-url", "u", "--target-token-file", "t", "--target-org", "o", "--target-bucket", "b",
          "--measurement", "m", "--resumable"],
-        ["--source-files", "x", "--target-files", "y", "--measurement", "m", "--resumable", "--rejects", "r"],
         ["--source-files", "x", "--target-files", "y", "--measurement", "m", "--decimal", "text"],
     ],
 )

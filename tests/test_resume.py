@@ -89,7 +89,7 @@ def test_nothing_to_copy(spark, events, tmp_path):
     options = MoveOptions("e", start="2031-01-01 00:00:00")
     for _ in range(2):
         report = migrate_resumable(events, target, options)
-        assert (report.range, report.slices, report.copied) == (None, {}, ())
+        assert (report.range, report.slices, report.copied, report.rejected) == (None, {}, (), 0)
     assert copied_lines(spark, target).count() == 0
 
 
@@ -108,3 +108,15 @@ def test_jdbc_slices(spark, events, tmp_path, monkeypatch, even):
     options = MoveOptions("e", num_slices=4, even_slices=even)
     report = migrate_jdbc_resumable(spark, source, str(tmp_path), options, tasks_per_slice=3)
     assert report.written == events.count() and read == [3] * len(report.slices) and same(spark, str(tmp_path), events)
+    assert report.rejected == 0
+
+
+def test_rejects_are_written_once(spark, events, tmp_path):
+    target, refused = str(tmp_path / "out"), str(tmp_path / "no")
+    rows = events.withColumn("ts", F.when(F.col("event_id") % 10 != 3, F.col("ts")))
+    without = rows.where("ts IS NULL").count()
+    with pytest.raises(Exception, match="lost"):
+        migrate_resumable(failing(rows, 2), target, OPTIONS, rejects=refused)
+    report = migrate_resumable(rows, target, OPTIONS, rejects=str(tmp_path / "not used any more"))
+    assert report.rejected == without == spark.read.json(refused).count() and report.written == events.count() - without
+    assert not os.path.exists(tmp_path / "not used any more")
