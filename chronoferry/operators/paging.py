@@ -17,12 +17,15 @@ column of the table can clash with a helper.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Row, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from chronoferry.config import DEFAULT_BATCH_SIZE, use_checkpoints
+from chronoferry.config import DEFAULT_BATCH_SIZE, ship_package, use_checkpoints
 from chronoferry.functions.columns import named, time_value
 from chronoferry.functions.timestamps import epoch_ms, epoch_us
 from chronoferry.operators.progress import slice_totals
@@ -151,6 +154,115 @@ def page_batches(
     )
 
 
+def first_pages(
+    df: DataFrame, rng: TimeRange, ts_col: str, keys: list[str], size: int, most: int, total: int | None = None
+) -> tuple[DataFrame, Row | None]:
+    """The first `most` pages of a range, all columns and `page_no` from 0, and the last row in them: its time
+    `at` in microseconds and its `keys` as text, or None if no rows follow.
+
+    A page ends with the row that makes it `size` rows long, and with all that time and keys don't tell apart
+    from it. Where no end has such rows, a row's number says its page. Otherwise every page depends on the one
+    before: see `_cut_groups`. `total` is the number of rows in the range, if it is known.
+    """
+    if "page_no" in df.columns:
+        raise ValueError("the table already has a column named page_no; page_batches keeps records apart from it")
+    narrow = _rows(df, rng, ts_col, keys, 1)
+    guide = _sampled_guide(narrow, total)
+    rows = _rows(df, rng, ts_col, keys, 1, record=True)
+    group = _in_group(narrow)
+    number = F.col("start") + F.row_number().over(group) - 1
+    # True for a row that is followed by one like it; groups never part these.
+    marks = _started(narrow, guide).select(
+        "g", "o", number.alias("rn"), F.lead("o").over(group).eqNullSafe(F.col("o")).alias("tied")
+    )
+    # The ends of pages, if no rows are alike, and the row after the last of them.
+    few = marks.where((F.col("rn") % size == size - 1) | (F.col("rn") == most * size))
+    end = few.agg(
+        F.count_if(F.col("tied") & (F.col("rn") % size == size - 1)).alias("tied"),
+        F.max(F.when(F.col("rn") == most * size - 1, F.col("o"))).alias("last"),
+        F.max("rn").alias("rn"),
+    ).select("tied", "rn", *_place_of("last", keys)).first()
+    if not end["tied"]:
+        page_no = whole_div(F.col("rn"), size)
+        paged = _numbered(rows, guide).where(F.col("rn") < most * size)
+        return paged.select("r.*", page_no.alias("page_no")), end if (end["rn"] or 0) >= most * size else None
+    cuts = _cut_groups(marks, size)
+    paged = _cut(narrow, guide, cuts)
+    end = paged.where(F.col("page_no") >= most - 1).agg(
+        F.max(F.when(F.col("page_no") < most, F.col("o"))).alias("last"), F.max("page_no").alias("rn")
+    ).select("rn", *_place_of("last", keys)).first()
+    page = _cut(rows, guide, cuts).where(F.col("page_no") < most).select("r.*", "page_no")
+    return page, end if (end["rn"] or 0) >= most else None
+
+
+def _place_of(order: str, keys: list[str]) -> list[Column]:
+    texts = F.array(*(F.col(order)[f"k{i}"].cast("string") for i in range(len(keys))))
+    return [epoch_us(F.col(order)["t"]).alias("at"), texts.alias("keys")]
+
+
+def _cut(rows: DataFrame, guide: _Guide | None, cuts: DataFrame) -> DataFrame:
+    """Rows with `page_no`, by the ends of pages in their group: those that are at or before their like."""
+    before = F.col("start") + F.rank().over(_in_group(rows)) - 1
+    ranked = _started(rows, guide).withColumn("before", before)
+    # One row for each group.
+    found = ranked.join(F.broadcast(cuts), "g")
+    return found.withColumn("page_no", F.col("page") + F.size(F.filter("ends", lambda e: e <= F.col("before"))))
+
+
+def _cut_groups(marks: DataFrame, size: int) -> DataFrame:
+    """`g, page, ends`: the page that is open before each group, and the numbers of rows up to the ends in it.
+
+    A group doesn't know how full the page is that it begins in. So it says for each number of rows in it, below
+    `size`, how many it leaves in the open page and how many pages it ends; the driver follows these from group to
+    group, one at a time, and each group then cuts its pages.
+    """
+    spark = marks.sparkSession
+    use_checkpoints(spark)
+    ship_package(spark)
+    upto = F.sort_array(F.collect_list(F.when(~F.col("tied"), F.col("rn") + 1)))
+    groups = marks.groupBy("g").agg(F.min("rn").alias("front"), upto.alias("upto")).checkpoint()
+
+    def answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, front, upto in _groups_of(batches):
+            begins, ended = front - np.arange(size), np.zeros(size, np.int64)
+            while True:
+                at = np.searchsorted(upto, begins + size)
+                hit = at < len(upto)
+                if not hit.any():
+                    break
+                begins[hit] = upto[at[hit]]
+                ended[hit] += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g], pa.int32()), pa.array([upto[-1] - begins], pa.list_(pa.int64())), pa.array([ended], pa.list_(pa.int64()))],
+                ["g", "open", "ended"],
+            )
+
+    entries, held, page = [], 0, 0
+    for row in groups.mapInArrow(answers, "g int, open array<long>, ended array<long>").orderBy("g").toLocalIterator():
+        entries.append((row.g, held, page))
+        held, page = row.open[held], page + row.ended[held]
+
+    def cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for g, front, upto in _groups_of(batches):
+            held, page = entry[g]
+            ends, begin = [], front - held
+            while (at := int(np.searchsorted(upto, begin + size))) < len(upto):
+                begin = int(upto[at])
+                ends.append(begin)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g], pa.int32()), pa.array([page], pa.int64()), pa.array([ends], pa.list_(pa.int64()))], ["g", "page", "ends"]
+            )
+
+    entry = {g: (held, page) for g, held, page in entries}
+    return groups.mapInArrow(cuts, "g int, page long, ends array<long>")
+
+
+def _groups_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+    for batch in batches:
+        for k in range(batch.num_rows):
+            yield batch["g"][k].as_py(), batch["front"][k].as_py(), batch["upto"][k].values.to_numpy()
+
+
 def explode_batches(batches: DataFrame) -> DataFrame:
     """The records of batches as rows again."""
     return batches.select(F.inline("batch"))
@@ -231,17 +343,24 @@ def _grouped(rows: DataFrame, guide: _Guide | None) -> DataFrame:
     return found.drop("bounds")
 
 
-def _numbered(rows: DataFrame, guide: _Guide | None) -> DataFrame:
-    """Rows with `g` and with `rn`, their number in their slice; they move once, to the task of their group."""
+def _started(rows: DataFrame, guide: _Guide | None) -> DataFrame:
+    """Rows with `g` and `start`, the number of rows in front of their group."""
     start = F.lit(0).cast("bigint")
     if guide is not None:
         # The first group has no rows if its slice begins with a bound; no other is empty.
         start = F.coalesce(F.get("starts", F.col("g") - F.col("starts")[0]["g"])["front"], start)
-    placed = _grouped(rows, guide).select(*rows.columns, "g", start.alias("start"))
+    return _grouped(rows, guide).select(*rows.columns, "g", start.alias("start"))
+
+
+def _in_group(rows: DataFrame) -> WindowSpec:
     # By its members and not as a struct, whose comparison takes longer.
-    order = (f"o.{name}" for name in rows.schema["o"].dataType.fieldNames())
-    place = F.row_number().over(Window.partitionBy("s", "g").orderBy(*order)) - 1
-    return placed.withColumn("rn", F.col("start") + place).drop("start")
+    return Window.partitionBy("s", "g").orderBy(*(f"o.{name}" for name in rows.schema["o"].dataType.fieldNames()))
+
+
+def _numbered(rows: DataFrame, guide: _Guide | None) -> DataFrame:
+    """Rows with `g` and with `rn`, their number in their slice; they move once, to the task of their group."""
+    place = F.row_number().over(_in_group(rows)) - 1
+    return _started(rows, guide).withColumn("rn", F.col("start") + place).drop("start")
 
 
 def _required(keys: list[str] | None) -> list[str]:

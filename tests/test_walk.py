@@ -4,10 +4,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from support import instants, plan_of
+from support import SMALL, instants, plan_of
 
+from chronoferry.operators import paging
 from chronoferry.operators.ranges import find_range
 from chronoferry.operators.walk import PageToken, page_after
+from chronoferry.plans import queries
 
 KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 
@@ -67,3 +69,49 @@ def test_keys_need_a_text(spark):
     df = instants(spark, ["2024-01-01 00:00:00"], k=[1]).withColumn("k", F.array("k"))
     with pytest.raises(ValueError, match="text"):
         page_after(df, find_range(df), "ts", ["k"])
+
+
+def strides(df, ts_col, keys, limit, pages):
+    """The rows of every page, `pages` of them at a time."""
+    rng, token, found = find_range(df, ts_col), None, []
+    while not found or token is not None:
+        rows, token = page_after(df, rng, ts_col, keys, limit, token, pages)
+        part = {}
+        for page_no, *row in rows.select("page_no", ts_col, *keys).collect():
+            part.setdefault(page_no, []).append(tuple((v is not None, v) for v in row))
+        assert sorted(part) == list(range(len(part))) and (token is None or len(part) == pages)
+        found += [sorted(part[k]) for k in sorted(part)]
+        token = token and PageToken.parse(token.text())
+    return found
+
+
+@pytest.mark.parametrize("limit, pages", [(700, 3), (700, 1000), (100, 17)])
+def test_many_pages_at_once_are_those_of_the_walk(lineitem, limit, pages):
+    rows = sorted(tuple((v is not None, v) for v in r) for r in lineitem.select("l_shipdate", *KEYS).collect())
+    assert strides(lineitem, "l_shipdate", KEYS, limit, pages) == [rows[k : k + limit] for k in range(0, len(rows), limit)]
+
+
+@pytest.mark.parametrize("group_rows", [50_000, 7])
+def test_many_pages_at_once_keep_rows_together_that_nothing_tells_apart(spark, monkeypatch, group_rows):
+    monkeypatch.setattr(paging, "GROUP_ROWS", group_rows)
+    rnd = random.Random(5)
+    days = sorted(rnd.choices(range(1, 29), k=150))
+    df = instants(spark, [f"2024-01-{d:02d} 00:00:00" for d in days], k=[rnd.randrange(3) for _ in days])
+    df = df.withColumn("k", F.when(F.col("k") > 0, F.col("k")))
+    for limit, pages in ((3, 4), (7, 2), (20, 50), (1, 9)):
+        assert strides(df, "ts", ["k"], limit, pages) == walk(df, "ts", ["k"], limit)
+
+
+def test_many_pages_of_one_instant(spark):
+    df = instants(spark, ["2024-01-01 00:00:00"] * 10, k=list(range(10)))
+    assert [len(p) for p in strides(df, "ts", ["k"], 4, 1)] == [4, 4, 2]
+    empty, token = page_after(df, None, "ts", ["k"], 4, None, 3)
+    assert empty.columns == ["ts", "k", "page_no"] and empty.count() == 0 and token is None
+
+
+def test_the_jobs_of_a_walk_do_not_grow_with_its_pages(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(queries.walk, "page_after", lambda *a: calls.append(a) or page_after(*a))
+    monkeypatch.setattr(queries, "WALK_ROWS", 50)
+    pages = queries.QUERIES["page_walk"](spark, SMALL)
+    assert pages.count() > 50 and len(calls) <= queries.WALK_STRIDES + 1
