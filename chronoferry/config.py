@@ -122,3 +122,9 @@ def pickle_whole(*names: str) -> None:
 def fresh_folder(spark: SparkSession, label: str) -> str:
     """A path below the work folder that no earlier run has used."""
     return os.path.join(work_folder(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)

@@ -9,6 +9,7 @@ from transports import Folder, bodies
 
 from chronoferry.functions.line import to_lines
 from chronoferry.operators.points import to_points
+from chronoferry import sinks
 from chronoferry.sinks import line_endpoint, line_files
 from chronoferry.sinks.endpoint import LineEndpoint, LineWriter
 from chronoferry.sinks.endpoint import bodies as regroup
@@ -194,6 +195,26 @@ def test_writers_bound_the_connections(events, tmp_path):
     assert os.path.getsize(tmp_path / "opened") == 2
 
 
+@pytest.mark.parametrize("writers, task_bytes", [(1, 1 << 40), (1, 3000), (3, 3000), (4, 1)])
+def test_writers_get_whole_bodies_and_no_task_all_lines(spark, events, tmp_path, monkeypatch, writers, task_bytes):
+    monkeypatch.setattr(sinks, "TASK_BYTES", task_bytes)
+    lines = to_lines(to_points(events.repartition(5), "events"))
+    endpoint(tmp_path, writers=writers, batch_size=30)(lines)
+    sent = list(bodies(tmp_path))
+    whole, rest = divmod(events.count(), 30)
+    assert sorted(map(len, sent)) == sorted([30] * whole + [rest] * (rest > 0))
+    assert sorted(sum(sent, [])) == sorted(r.line for r in lines.collect())
+    tasks = [f.rdd.getNumPartitions() for f in sinks.dealt(lines, writers, 30)]
+    assert set(tasks) == {writers}
+    if task_bytes == 1:
+        assert len(tasks) == -(-events.count() // (30 * writers))
+
+
+def test_no_lines_make_no_bodies(events, tmp_path):
+    endpoint(tmp_path, writers=2)(to_lines(to_points(events.limit(0), "events")))
+    assert sum(bodies(tmp_path), []) == []
+
+
 def test_a_task_that_keeps_failing_fails_the_job(events, tmp_path):
     with pytest.raises(Exception, match="fail_sends|cannot"):
         endpoint(tmp_path, fail_sends=5)(to_lines(to_points(events, "events")).coalesce(1))
