@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.functions import arrow_udf
@@ -25,6 +25,9 @@ ROUNDS = 4
 # How hard records are compressed on their way to the shards.
 PRESS = 1
 CHUNK = 2 << 20
+# Texts, and characters of each, that say which ids are frequent.
+KNOWN_TEXTS = 200
+KNOWN_CHARS = 2000
 # Shuffle partitions that write shards at most; each of them writes several where there are more shards.
 WRITERS = 20_000
 
@@ -56,22 +59,37 @@ def permuted(index: np.ndarray, count: int, key: int = KEY) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def by_frequency(docs: DataFrame, text_col: str = "text", model_path: str = DEFAULT_MODEL) -> np.ndarray:
+    """All ids of the tokenizer, first those that are frequent in a few of the texts.
+
+    Records that hold places in this list instead of ids compress better, because most places are small. They become
+    the same ids again whatever the texts are, so any few do.
+    """
+    tokenizer = loaded(read_model(model_path))
+    some = columns_as(docs, text=text_col).select(F.substring("text", 1, KNOWN_CHARS).alias("text")).limit(KNOWN_TEXTS)
+    ids = tokenizer.encode(strings(some.toArrow().column("text").combine_chunks()))
+    seen = np.bincount(np.concatenate([*ids, [tokenizer.end]]).astype(np.int64), minlength=tokenizer.size)
+    return np.argsort(-seen, kind="stable").astype(token_kind(tokenizer.size))
+
+
 def sequences(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
     model_path: str = DEFAULT_MODEL,
     length: int = SEQUENCE,
-    packed: bool = False,
+    order: np.ndarray | None = None,
 ) -> DataFrame:
     """(part, number, n_tokens, doc_ids, record): the tokens of each input partition, one text after the
     other with an end sign after each, cut into sequences of `length`.
 
     A record has `length` ids of 2 or 4 bytes; the last of a partition is filled up with end signs, which
     n_tokens doesn't count. doc_ids are the ids of the texts that a sequence has tokens of, in order. Null and
-    empty texts are an end sign alone. `packed` records are compressed, for storing and shuffling (see `unpacked`).
+    empty texts are an end sign alone. With an `order` of all ids (see `by_frequency`) records are compressed, for
+    storing and shuffling, and `unpacked` makes the same of them.
     """
     prepare(docs.sparkSession)
+    places = None if order is None else docs.sparkSession.sparkContext.broadcast(np.argsort(order).astype(order.dtype))
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model_path))
     rows = columns_as(docs, id=id_col, text=text_col).select(F.col("id").cast("long").alias("id"), "text")
 
@@ -93,7 +111,7 @@ def sequences(
                 docs_of.append([ids[k] for k in owner[np.flatnonzero(np.diff(owner, prepend=-1))].tolist()])
                 if len(piece) < length:
                     piece = np.concatenate([piece, np.full(length - len(piece), tokenizer.end, kind)])
-                records.append(press.compress(piece.tobytes()) if packed else piece.tobytes())
+                records.append(piece.tobytes() if places is None else press.compress(places.value.take(piece).tobytes()))
             first, number = number, number + len(many)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part] * len(many), pa.int32()), pa.array(range(first, number), pa.int64()), pa.array(many, pa.int32()),
@@ -150,7 +168,8 @@ def materialise(
     spark = docs.sparkSession
     stored = fresh_folder(spark, "sequences")
     # Records are compressed once, by the task that makes them, and stay so up to their shard.
-    sequences(docs, id_col, text_col, model_path, length, packed=True).write.option("compression", "none").parquet(stored)
+    order = by_frequency(docs, text_col, model_path)
+    sequences(docs, id_col, text_col, model_path, length, order).write.option("compression", "none").parquet(stored)
     rows = spark.read.parquet(stored)
     # One row of 16 bytes for each input partition: the sequences in front of it. Every executor can hold them.
     fronts = rows.groupBy("part").agg(F.count("*").alias("n")).select(
@@ -164,23 +183,30 @@ def materialise(
 
     placed = rows.join(F.broadcast(fronts.select("part", "front")), "part").withColumn("slot", slot(F.col("front") + F.col("number")))
     placed = placed.withColumn("shard", F.expr(f"slot div {shard_rows}").cast("int"))
-    size = len(np.empty(length, token_kind(loaded(read_model(model_path)).size)).tobytes())
+    size = length * order.itemsize
     shards = max(1, -(-count // shard_rows))
     each = -(-shards // WRITERS)
     writer = F.floor(F.col("shard") / each).cast("int")
     dealt = placed.select("shard", "slot", "record").repartitionById(-(-shards // each), writer)
-    ordered = dealt.sortWithinPartitions("shard", "slot").select("shard", unpacked(F.col("record")).cast("string").alias("value"))
+    ordered = dealt.sortWithinPartitions("shard", "slot").select(
+        "shard", unpacked(spark, order)(F.col("record")).cast("string").alias("value")
+    )
     ordered.write.partitionBy("shard").option("lineSep", "\n").text(folder)
     return placed.select(
         "slot", "shard", (F.col("slot") % shard_rows * (size + 1)).alias("offset"), F.col("n_tokens").cast("long"), "doc_ids"
     )
 
 
-@arrow_udf(T.BinaryType())
-def unpacked(records: pa.Array) -> pa.Array:
-    """Records as they are in a shard."""
-    press = zstandard.ZstdDecompressor()
-    return pa.array([press.decompress(r) for r in records.to_pylist()], pa.binary())
+def unpacked(spark: SparkSession, order: np.ndarray) -> Callable[[Column], Column]:
+    """Makes records, compressed with this order of ids, what they are in a shard."""
+    shared = spark.sparkContext.broadcast(order)
+
+    @arrow_udf(T.BinaryType())
+    def plain(records: pa.Array) -> pa.Array:
+        press, ids = zstandard.ZstdDecompressor(), shared.value
+        return pa.array([ids.take(np.frombuffer(press.decompress(r), ids.dtype)).tobytes() for r in records.to_pylist()], pa.binary())
+
+    return plain
 
 
 def read_shards(spark: SparkSession, folder: str, length: int = SEQUENCE, width: int = 2, shard_rows: int = SHARD_ROWS) -> DataFrame:

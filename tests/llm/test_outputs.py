@@ -82,6 +82,19 @@ def test_training_order_of_odd_rows(spark, odd, nothing):
     assert training_order.materialise(nothing, fresh_folder(spark, "order")).count() == 0
 
 
+def test_records_on_their_way_are_small(spark, documents):
+    """Stored once and shuffled once, they must leave room for the shards; whatever the order, the ids stay the same."""
+    plain = training_order.sequences(documents).orderBy("part", "number").select("record")
+    order = training_order.by_frequency(documents)
+    raw = [r.record for r in plain.collect()]
+    for some in (order, order[::-1].copy()):
+        packed = training_order.sequences(documents, order=some).orderBy("part", "number").select("record")
+        back = packed.select(training_order.unpacked(spark, some)("record").alias("record"))
+        assert [r.record for r in back.collect()] == raw
+        if some is order:
+            assert sum(len(r.record) for r in packed.collect()) < 0.58 * sum(map(len, raw))
+
+
 def groups(frame):
     return {(r.source, r.lang, r.tokenizer): (r.docs, r.tokens, r.bytes) for r in frame.collect()}
 
