@@ -35,6 +35,12 @@ PIECE = 1 << 18
 TASKS_PER_CORE = 2
 # Rows of weights that are summed up together.
 STRETCH = 64
+# The words of a group are the leaves of a binary tree, found by the bits of their crc32: so many bits at most.
+DEPTH = 16
+# Weights of pairs of a feature and a place in a tree, by hash; tokens that share a step; kinds of features (see `ready`).
+CELL_BITS = 18
+WORD_BATCH = 1 << 15
+WORD_KINDS = (0, 3)
 END = b""
 
 BLOCK_SCHEMA = "block long, ids array<long>, held array<boolean>, sizes binary, tokens binary, listed binary, words array<binary>, seen array<int>"
@@ -107,6 +113,28 @@ def classes_of(words: list[bytes], top: dict[bytes, int]) -> np.ndarray:
     return classes
 
 
+@dataclass
+class Tree:
+    """What the corpus counts say of the words in each group, as a binary tree by the bits of their crc32."""
+
+    depth: int
+    leaves: np.ndarray  # [group, path]; counts plus one of the words there
+    odds: np.ndarray  # [group << depth | place]; logarithm of upper by lower branch; the root has place 1
+
+    @staticmethod
+    def of(leaves: np.ndarray) -> Tree:
+        depth = leaves.shape[1].bit_length() - 1
+        odds = np.zeros(leaves.shape, np.float32)
+        mass = leaves
+        for level in reversed(range(depth)):
+            lower, upper = mass[:, 0::2], mass[:, 1::2]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                # A branch without words is as good as impossible; where both are, no word comes.
+                odds[:, 1 << level : 2 << level] = np.clip(np.nan_to_num(np.log(upper) - np.log(lower), posinf=80, neginf=-80), -80, 80)
+            mass = lower + upper
+        return Tree(depth, leaves, odds.ravel())
+
+
 @dataclass
 class Model:
     """What scoring needs: weights by feature and class, and what the corpus counts say of each class."""
@@ -117,6 +145,8 @@ class Model:
     class_words: np.ndarray  # distinct words of each class in training
     weights: np.ndarray  # [feature, class]; the last row is for every token
     top: dict[bytes, int] = field(default_factory=dict)  # the words that are classes of their own
+    tree: Tree = field(default_factory=lambda: Tree.of(np.zeros((GROUPS, 1))))
+    cells: np.ndarray = field(default_factory=lambda: np.zeros(1 << CELL_BITS, np.float32))  # weights of the trees
 
     @property
     def denominators(self) -> np.ndarray:
@@ -134,6 +164,7 @@ class Block:
     classes: np.ndarray
     features: np.ndarray  # [feature kind, token]
     target: np.ndarray
+    crc: np.ndarray  # of each word
 
 
 def spread(x: np.ndarray) -> np.ndarray:
@@ -169,7 +200,8 @@ def ready(row: dict, top: dict[bytes, int]) -> Block:
         features[1, at:to] = spread(w1 * np.uint64(31) ^ (w2 + one))
         features[2, at:to] = spread(w2 ^ two)
         features[3, at:to] = spread(c1 * np.uint64(CLASSES + 1) + c2 + three)
-    return Block(sizes, tokens, np.array(row["counts"], np.int64), classes, features, classes[tokens])
+    crc = np.fromiter(map(zlib.crc32, words), np.uint32, len(words))
+    return Block(sizes, tokens, np.array(row["counts"], np.int64), classes, features, classes[tokens], crc)
 
 
 def class_scores(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
@@ -199,30 +231,95 @@ def learn(weights: np.ndarray, squares: np.ndarray, touched: np.ndarray, block:
         slope /= slope.sum(axis=1, keepdims=True)
         slope[np.arange(n), target] -= 1
         slope /= n
-        flat = features.ravel()
-        order = np.argsort(flat, kind="stable")
-        rows = flat[order]
-        begins = np.flatnonzero(np.diff(rows.astype(np.int32), prepend=-1))
-        used = rows[begins]
-        sums = np.add.reduceat(slope.take(order % n, axis=0), begins, axis=0)
-        far = squares.take(used, axis=0)
-        far += sums * sums
-        squares[used] = far
-        np.sqrt(far, out=far)
+        flat = features.ravel().astype(np.intp)
+        each = np.ascontiguousarray(slope.T)
+        sums = np.empty(weights.T.shape, np.float32)
+        for k, own in enumerate(each):
+            sums[k] = np.bincount(flat, np.tile(own, len(features)), len(weights))
+        sums[:, -1] = each.sum(axis=1)
+        sums = np.ascontiguousarray(sums.T)
+        squares += sums * sums
+        far = np.sqrt(squares)
         far += 1e-8
         sums *= np.float32(RATE)
         sums /= far
-        weights[used] -= sums
-        touched[used] += np.diff(begins, append=len(rows))
-        whole = slope.sum(axis=0)
-        squares[-1] += whole**2
-        weights[-1] -= RATE * whole / (np.sqrt(squares[-1]) + 1e-8)
+        weights -= sums
+        touched += np.bincount(flat, minlength=len(weights))
         touched[-1] += n
 
 
 def training_part(block: Block, held: np.ndarray) -> Block:
     keep = ~np.repeat(held, block.sizes)
-    return Block(block.sizes[~held], block.tokens[keep], block.counts, block.classes, block.features[:, keep], block.target[keep])
+    return Block(
+        block.sizes[~held], block.tokens[keep], block.counts, block.classes, block.features[:, keep], block.target[keep], block.crc
+    )
+
+
+def leaf_of(crc: np.ndarray, classes: np.ndarray, depth: int) -> np.ndarray:
+    """Group and path of words that are not classes of their own."""
+    return (classes.astype(np.int64) - TOP << depth) + (crc.astype(np.int64) & (1 << depth) - 1)
+
+
+def way(tree: Tree, leaves: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """[level, token]: the odds by counts on the way to the leaves, which branch is theirs (1 or -1), and the cells
+    of the weights that change these odds, for each kind of feature."""
+    path, levels = leaves & (1 << tree.depth) - 1, np.arange(tree.depth)[:, None]
+    ahead = path >> tree.depth - 1 - levels
+    place = (leaves - path) + (1 << levels) + (ahead >> 1)
+    branch = ((ahead & 1) * 2 - 1).astype(np.float32)
+    hashed = place.astype(np.uint32) * np.uint32(0x85EBCA6B)
+    hashed ^= hashed >> np.uint32(15)
+    cells = []
+    for kind in WORD_KINDS:
+        feature = (features[kind].astype(np.uint32) + np.uint32(kind * FEATURES)) * np.uint32(0xC2B2AE35)
+        feature ^= feature >> np.uint32(13)
+        cells.append((hashed ^ feature) * np.uint32(0x9E3779B1) >> np.uint32(32 - CELL_BITS))
+    return tree.odds.take(place), branch, cells
+
+
+def learn_words(cells: np.ndarray, squares: np.ndarray, tree: Tree, block: Block) -> None:
+    """Gradient steps on the weights of the trees, over a block's training tokens of groups."""
+    if not tree.depth:
+        return
+    leaves = leaf_of(block.crc, block.classes, tree.depth)
+    for at in range(0, len(block.target), WORD_BATCH):
+        some = at + np.flatnonzero(block.target[at : at + WORD_BATCH] >= TOP)
+        slope, branch, used = way(tree, leaves[block.tokens[some]], block.features[:, some])
+        for cell in used:
+            slope += cells.take(cell)
+        slope *= branch
+        np.exp(slope, out=slope)
+        slope += 1
+        np.divide(branch, slope, out=slope)
+        sums = sum(np.bincount(cell.ravel(), slope.ravel(), len(cells)) for cell in used).astype(np.float32)
+        squares += sums * sums
+        sums *= np.float32(RATE)
+        sums /= np.sqrt(squares + 1)
+        cells += sums
+
+
+def word_scores(model: Model, block: Block) -> np.ndarray:
+    """Log10 probability of each token's word within its class: the softmaxes of all branches on the way to its leaf,
+    whose odds by counts are changed by the weights of the features, times its share by counts among the words of
+    that leaf. Without weights this is its share in the class. A word that training doesn't have is one more word."""
+    tree, counts = model.tree, block.counts
+    within = np.zeros(len(counts))
+    known = (block.classes >= TOP) & (counts > 0)
+    other = (block.classes >= TOP) & (counts == 0)
+    whole = model.denominators[block.classes]
+    within[other] = -np.log10(whole[other])
+    leaves = leaf_of(block.crc, block.classes, tree.depth)
+    share = (counts[known] + 1) / tree.leaves.ravel()[leaves[known]]
+    within[known] = np.log10(share * (1 - 1 / whole[known]))
+    out = within[block.tokens]
+    for at in range(0, len(out) if tree.depth else 0, WORD_BATCH):
+        some = at + np.flatnonzero(known[block.tokens[at : at + WORD_BATCH]])
+        odds, branch, used = way(tree, leaves[block.tokens[some]], block.features[:, some])
+        for cell in used:
+            odds += model.cells.take(cell)
+        odds *= -branch
+        out[some] -= np.log1p(np.exp(odds)).sum(axis=0, dtype=np.float64) / np.log(10)
+    return out
 
 
 def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -232,23 +329,29 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
                    for name in batch.schema.names}
 
 
-def one_round(spark: SparkSession, numbered: DataFrame, weights: np.ndarray, top: dict[bytes, int]) -> np.ndarray:
-    """Weights after every task has gone over its blocks, each from the given weights: their mean, weighted
-    by how many tokens had the feature in a task."""
-    shared = spark.sparkContext.broadcast(weights)
-    rows = len(weights)
+def one_round(spark: SparkSession, numbered: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of the classes and of the trees after every task has gone over its blocks, each from the model's:
+    their mean, weighted by how many tokens had the feature in a task, for the trees by the squares of their slopes."""
+    shared = spark.sparkContext.broadcast(model)
+    rows = len(model.weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shared.value.copy()
-        squares, touched = np.zeros_like(own), np.zeros(rows, np.float32)
+        model = shared.value
+        own, cells = model.weights.copy(), model.cells.copy()
+        squares, touched, steep = np.zeros_like(own), np.zeros(rows, np.float32), np.zeros_like(cells)
         for row in rows_of(batches):
-            learn(own, squares, touched, training_part(ready(row, top), np.array(row["held"], bool)))
-        hit = [k for k in range(0, rows, STRETCH) if touched[k : k + STRETCH].any()]
-        sums = [(own[k : k + STRETCH] * touched[k : k + STRETCH, None]).astype(np.float32).tobytes() for k in hit]
-        tasks = [TaskContext.get().partitionId()] * len(hit)
+            block = training_part(ready(row, model.top), np.array(row["held"], bool))
+            learn(own, squares, touched, block)
+            learn_words(cells, steep, model.tree, block)
+        # Stretches of the trees' weights have numbers after those of the classes.
+        parts = [(k, own[k : k + STRETCH], touched[k : k + STRETCH]) for k in range(0, rows, STRETCH)]
+        wide = STRETCH * CLASSES
+        parts += [(rows + k, cells[k : k + wide, None], steep[k : k + wide]) for k in range(0, len(cells), wide)]
+        parts = [p for p in parts if p[2].any()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(hit, pa.int32()), pa.array(tasks, pa.int32()), pa.array(sums, pa.binary()),
-             pa.array([touched[k : k + STRETCH].tobytes() for k in hit], pa.binary())],
+            [pa.array([p[0] for p in parts], pa.int32()), pa.array([TaskContext.get().partitionId()] * len(parts), pa.int32()),
+             pa.array([(p[1] * p[2][:, None]).astype(np.float32).tobytes() for p in parts], pa.binary()),
+             pa.array([p[2].tobytes() for p in parts], pa.binary())],
             ["stretch", "task", "sums", "touched"],
         )
 
@@ -267,13 +370,14 @@ def one_round(spark: SparkSession, numbered: DataFrame, weights: np.ndarray, top
     parts = numbered.coalesce(TASKS_PER_CORE * spark.sparkContext.defaultParallelism).mapInArrow(run, schema)
     # In two steps: no group has more rows than a small part of the tasks.
     some = parts.groupBy("stretch", F.pmod("task", F.lit(8))).applyInArrow(lambda t: added(t), schema)
-    means = weights.copy()
+    weights, cells = model.weights.copy(), model.cells.copy()
     for row in some.groupBy("stretch").applyInArrow(added, schema).toLocalIterator():
         many = np.frombuffer(row.touched, np.float32)
-        sums = np.frombuffer(row.sums, np.float32).reshape(-1, CLASSES)
+        sums = np.frombuffer(row.sums, np.float32).reshape(len(many), -1)
         used = many > 0
-        means[row.stretch : row.stretch + len(many)][used] = sums[used] / many[used, None]
-    return means
+        at, means = (row.stretch, weights) if row.stretch < rows else (row.stretch - rows, cells[:, None])
+        means[at : at + len(many)][used] = sums[used] / many[used, None]
+    return weights, cells
 
 
 def score(
@@ -285,8 +389,8 @@ def score(
     and empty texts are the end sign alone. Rows whose crc32 of the id, as text, leaves 2 when divided by
     `folds` are held out; rows without an id are trained on. base_score is the log10 probability by counts
     plus one over all training tokens. score is that of the model: a softmax over classes of words, whose
-    weights belong to hashed features of the words before, times the word's share in its class by counts plus
-    one. Weights are trained on all training tokens in rounds over disjoint parts of the corpus. Repeated rows
+    weights belong to hashed features of the words before, times one over the words of the class, as a tree of
+    choices with weights of the word before and of the classes before (see `word_scores`). Weights are trained on all training tokens in rounds over disjoint parts of the corpus. Repeated rows
     count as often as they occur; an empty table gives an empty result; without training rows all classes
     are equally likely.
     """
@@ -311,6 +415,15 @@ def score(
     class_total, class_words = np.zeros(CLASSES), np.zeros(CLASSES)
     for row in totals:
         class_total[row["class"]], class_words[row["class"]] = row.c, row.v
+    # Twice as many leaves as there are words, at most GROUPS << DEPTH: a few MB.
+    depth = min(DEPTH, int(2 * class_words[TOP:].sum() / GROUPS).bit_length())
+    path = F.crc32("word").bitwiseAND(F.lit((1 << depth) - 1))
+    leaf = (F.shiftleft(F.col("class").cast("long") - TOP, depth) + path).cast("int")
+    massed = classed.where((F.col("class") >= TOP) & (F.col("c") > 0)).groupBy(leaf.alias("leaf")).agg(F.sum(F.col("c") + 1).alias("mass"))
+    massed = massed.toArrow()
+    leaves = np.zeros(GROUPS << depth)
+    leaves[massed.column("leaf").to_numpy()] = massed.column("mass").to_numpy()
+    tree = Tree.of(leaves.reshape(GROUPS, -1))
     # A block has as many of these as it has words: BLOCK_BYTES at most, or those of one text.
     looked_up = exploded.join(words, "word").groupBy("block").agg(
         F.sort_array(F.collect_list(F.struct("pos", "c"))).alias("w")
@@ -322,12 +435,12 @@ def score(
     numbered = spark.read.parquet(joined)
 
     weights = np.zeros((FEATURES + 1, CLASSES), np.float32)
-    model = Model(int(class_total.sum()), int(class_words.sum()), class_total, class_words, weights, {r: k for k, r in enumerate(top)})
+    model = Model(int(class_total.sum()), int(class_words.sum()), class_total, class_words, weights, {r: k for k, r in enumerate(top)}, tree)
     if model.train_tokens:
         weights[-1] = np.log((class_total + 1) / (class_total + 1).sum())
         for k in range(ROUNDS):
             part = numbered.where(F.pmod(F.xxhash64("block"), F.lit(ROUNDS)) == k)
-            model.weights = one_round(spark, part, model.weights, model.top)
+            model.weights, model.cells = one_round(spark, part, model)
     shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,9 +453,7 @@ def score(
 def scored(model: Model, row: dict) -> pa.RecordBatch:
     block = ready(row, model.top)
     n = len(block.tokens)
-    within = np.log10((block.counts + 1) / model.denominators[block.classes])
-    within[block.classes < TOP] = 0
-    score = within[block.tokens]
+    score = word_scores(model, block)
     for at in range(0, n, BATCH):
         part = slice(at, at + BATCH)
         target = block.target[part]

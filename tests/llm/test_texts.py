@@ -278,6 +278,52 @@ def test_class_chances_sum_to_one():
         assert sum(s / model.denominators[k] for s in shares) == pytest.approx(1)
 
 
+def test_words_before_choose_the_word_in_its_class(spark):
+    """Two words of one class that occur equally often, with weights that are equal for all classes."""
+    docs = [(0, "leftx abcdone"), (3, "rightx fghdone")] * 50 + [(1, "leftx fghdone"), (1, "rightx abcdone"), (1, "leftx newdone")]
+    docs += [(0, f"w{k} " * 200) for k in range(language_model.TOP)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    made = language_model.blocks(frame, "doc_id", "text", language_model.FOLDS, 1 << 20).first().asDict()
+    top = {f"w{k}".encode(): k for k in range(language_model.TOP)}
+    made["counts"] = np.where([bytes(w) == b"newdone" for w in made["words"]], 0, 60)
+    block = language_model.ready(made, top)
+    low = block.classes >= language_model.TOP
+    leaves = np.zeros((language_model.GROUPS, 64))
+    np.add.at(leaves.ravel(), language_model.leaf_of(block.crc, block.classes, 6)[low & (block.counts > 0)], 61)
+    total = np.bincount(block.classes, block.counts, language_model.CLASSES)
+    words = np.bincount(block.classes, block.counts > 0, language_model.CLASSES)
+    model = language_model.Model(int(total.sum()), int(words.sum()), total, words, np.zeros((language_model.FEATURES + 1, language_model.CLASSES), np.float32), top, language_model.Tree.of(leaves))
+    steep = np.zeros_like(model.cells)
+    for _ in range(5):
+        language_model.learn_words(model.cells, steep, model.tree, block)
+    score = dict(zip((t for _, t in docs), language_model.scored(model, made).column("score").to_pylist()))
+    assert score["leftx abcdone"] > score["leftx fghdone"] + 0.1 and score["rightx fghdone"] > score["rightx abcdone"] + 0.1
+    assert score["leftx fghdone"] > score["leftx newdone"]
+
+
+def test_word_chances_sum_to_one():
+    """Whatever the weights are, the words of a class and the unknown one have all of it."""
+    rng = np.random.default_rng(0)
+    words = [f"{k}en".encode() for k in range(300)]
+    counts = rng.integers(1, 50, len(words))
+    classes = language_model.classes_of(words, {})
+    crc = np.array([zlib.crc32(w) for w in words], np.uint32)
+    leaves = np.zeros((language_model.GROUPS, 64))
+    np.add.at(leaves.ravel(), language_model.leaf_of(crc, classes, 6), counts + 1)
+    total, distinct = np.zeros(language_model.CLASSES), np.zeros(language_model.CLASSES)
+    total[classes[0]], distinct[classes[0]] = counts.sum(), len(words)
+    model = language_model.Model(1, 1, total, distinct, np.zeros((1, 1)), {}, language_model.Tree.of(leaves))
+    tokens, features = np.arange(301), np.repeat(rng.integers(0, language_model.FEATURES, (4, 1)), 301, axis=1).astype(np.uint16)
+    block = language_model.Block(
+        np.array([301]), tokens, np.append(counts, 0), np.append(classes, classes[0]), features, np.append(classes, classes[0]), np.append(crc, crc[:1])
+    )
+    plain = language_model.word_scores(model, block)
+    assert 10 ** plain == pytest.approx((block.counts + 1) / model.denominators[classes[0]], rel=1e-4)
+    model.cells = rng.normal(size=len(model.cells)).astype(np.float32)
+    moved = language_model.word_scores(model, block)
+    assert sum(10**moved) == pytest.approx(1, abs=1e-4) and abs(moved - plain).max() > 0.1
+
+
 def test_language_model_of_odd_rows(odd, nothing):
     rows = language_model.score(odd).collect()
     assert len(rows) == odd.count() and all(r.n_tokens >= 1 and math.isfinite(r.score) for r in rows)
