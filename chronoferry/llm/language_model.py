@@ -37,10 +37,12 @@ TASKS_PER_CORE = 2
 STRETCH = 64
 # The words of a group are the leaves of a binary tree, found by the bits of their crc32: so many bits at most.
 DEPTH = 16
-# Weights of pairs of a feature and a place in a tree, by hash; tokens that share a step; kinds of features (see `ready`).
+# Weights of pairs of a feature and a place in a tree, by hash; tokens that share a step, and those whose ways are
+# followed together (few, so that they stay in the cache); kinds of features (see `ready`).
 CELL_BITS = 18
 WORD_BATCH = 1 << 15
-WORD_KINDS = (0, 3)
+WAYS = 1 << 12
+WORD_KINDS = (0,)
 END = b""
 
 BLOCK_SCHEMA = "block long, ids array<long>, held array<boolean>, sizes binary, tokens binary, listed binary, words array<binary>, seen array<int>"
@@ -257,15 +259,15 @@ def training_part(block: Block, held: np.ndarray) -> Block:
 
 def leaf_of(crc: np.ndarray, classes: np.ndarray, depth: int) -> np.ndarray:
     """Group and path of words that are not classes of their own."""
-    return (classes.astype(np.int64) - TOP << depth) + (crc.astype(np.int64) & (1 << depth) - 1)
+    return (classes.astype(np.int32) - TOP << depth) + (crc & np.uint32((1 << depth) - 1)).astype(np.int32)
 
 
 def way(tree: Tree, leaves: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
     """[level, token]: the odds by counts on the way to the leaves, which branch is theirs (1 or -1), and the cells
     of the weights that change these odds, for each kind of feature."""
-    path, levels = leaves & (1 << tree.depth) - 1, np.arange(tree.depth)[:, None]
+    path, levels = leaves & (1 << tree.depth) - 1, np.arange(tree.depth, dtype=np.int32)[:, None]
     ahead = path >> tree.depth - 1 - levels
-    place = (leaves - path) + (1 << levels) + (ahead >> 1)
+    place = (leaves - path) + (np.int32(1) << levels) + (ahead >> 1)
     branch = ((ahead & 1) * 2 - 1).astype(np.float32)
     hashed = place.astype(np.uint32) * np.uint32(0x85EBCA6B)
     hashed ^= hashed >> np.uint32(15)
@@ -283,15 +285,19 @@ def learn_words(cells: np.ndarray, squares: np.ndarray, tree: Tree, block: Block
         return
     leaves = leaf_of(block.crc, block.classes, tree.depth)
     for at in range(0, len(block.target), WORD_BATCH):
-        some = at + np.flatnonzero(block.target[at : at + WORD_BATCH] >= TOP)
-        slope, branch, used = way(tree, leaves[block.tokens[some]], block.features[:, some])
-        for cell in used:
-            slope += cells.take(cell)
-        slope *= branch
-        np.exp(slope, out=slope)
-        slope += 1
-        np.divide(branch, slope, out=slope)
-        sums = sum(np.bincount(cell.ravel(), slope.ravel(), len(cells)) for cell in used).astype(np.float32)
+        hit, slopes = [], []
+        for start in range(at, min(at + WORD_BATCH, len(block.target)), WAYS):
+            some = start + np.flatnonzero(block.target[start : min(start + WAYS, at + WORD_BATCH)] >= TOP)
+            slope, branch, used = way(tree, leaves[block.tokens[some]], block.features[:, some])
+            for cell in used:
+                slope += cells.take(cell)
+            slope *= branch
+            np.exp(slope, out=slope)
+            slope += 1
+            np.divide(branch, slope, out=slope)
+            hit += [cell.ravel() for cell in used]
+            slopes += [slope.ravel()] * len(used)
+        sums = np.bincount(np.concatenate(hit), np.concatenate(slopes), len(cells)).astype(np.float32)
         squares += sums * sums
         sums *= np.float32(RATE)
         sums /= np.sqrt(squares + 1)
@@ -312,13 +318,15 @@ def word_scores(model: Model, block: Block) -> np.ndarray:
     share = (counts[known] + 1) / tree.leaves.ravel()[leaves[known]]
     within[known] = np.log10(share * (1 - 1 / whole[known]))
     out = within[block.tokens]
-    for at in range(0, len(out) if tree.depth else 0, WORD_BATCH):
-        some = at + np.flatnonzero(known[block.tokens[at : at + WORD_BATCH]])
+    for at in range(0, len(out) if tree.depth else 0, WAYS):
+        some = at + np.flatnonzero(known[block.tokens[at : at + WAYS]])
         odds, branch, used = way(tree, leaves[block.tokens[some]], block.features[:, some])
         for cell in used:
             odds += model.cells.take(cell)
         odds *= -branch
-        out[some] -= np.log1p(np.exp(odds)).sum(axis=0, dtype=np.float64) / np.log(10)
+        np.exp(odds, out=odds)
+        odds += 1
+        out[some] -= np.log(odds, out=odds).sum(axis=0, dtype=np.float64) / np.log(10)
     return out
 
 
@@ -390,7 +398,7 @@ def score(
     `folds` are held out; rows without an id are trained on. base_score is the log10 probability by counts
     plus one over all training tokens. score is that of the model: a softmax over classes of words, whose
     weights belong to hashed features of the words before, times one over the words of the class, as a tree of
-    choices with weights of the word before and of the classes before (see `word_scores`). Weights are trained on all training tokens in rounds over disjoint parts of the corpus. Repeated rows
+    choices with weights of the word before (see `word_scores`). Weights are trained on all training tokens in rounds over disjoint parts of the corpus. Repeated rows
     count as often as they occur; an empty table gives an empty result; without training rows all classes
     are equally likely.
     """
