@@ -129,3 +129,71 @@ def test_embeddings_odd_rows(spark):
     linked = [(1, 4, 1, True), (2, 4, 1, False), (3, 4, 1, False), (3, 4, 1, False), (12, 4, 1, False)]
     assert got == sorted(linked + [(k, 0, k, True) for k in (0, 4, 5, 6, 7, 8, 9, 10, 11)])
     assert embeddings.near_duplicates(frame.limit(0)).count() == 0
+
+
+def unit_groups(rng, size=24):
+    """Random rows, a crowd of near copies, and chains of rows about as far apart as links reach."""
+    crowd = rng.normal(size=size) + rng.normal(size=(60, size)) * 0.05
+    steps = rng.normal(size=size) + np.cumsum(rng.normal(size=(40, size)) * 0.25, axis=0)
+    x = np.concatenate([rng.normal(size=(200, size)), crowd, steps]).astype(np.float32)
+    return x[rng.permutation(len(x))]
+
+
+@pytest.mark.parametrize("tile", [1024, 16])
+def test_blocks_count_every_pair_once(monkeypatch, tile):
+    monkeypatch.setattr(embeddings, "TILE", tile)
+    rng = np.random.default_rng(6)
+    x = unit_groups(rng)
+    copies = rng.integers(1, 4, len(x))
+    unit = embeddings.unit_rows(x)
+    pivots = embeddings.spread(unit, 7).astype(np.float32)
+    axes = np.eye(x.shape[1], 10, dtype=np.float32)
+    halves = []
+    for k in (0, 1):
+        mine = np.arange(k, len(x), 2)
+        home = embeddings.homes(unit[mine].astype(np.float32), pivots)
+        mine, home = mine[np.argsort(home, kind="stable")], np.sort(home)
+        halves.append((mine, embeddings.Block(1000 * k, home, copies[mine], x[mine], pivots, axes)))
+    edges = []
+    for a, b in ((0, 0), (0, 1), (1, 1)):
+        edges += zip(*(e.tolist() for e in embeddings.compare(halves[a][1], halves[b][1], 0.95)))
+    node = {1000 * k + n: int(i) for k, (mine, _) in enumerate(halves) for n, i in enumerate(mine)}
+    near = unit @ unit.T >= 0.95
+    np.fill_diagonal(near, False)
+    for mine, block in halves:
+        assert block.links.tolist() == (near @ copies)[mine].tolist()
+    linked = [(i, j) for i, j in zip(*np.nonzero(near))]
+    got = classes(range(len(x)), [(node[a], node[b]) for a, b in edges])
+    assert got == classes(range(len(x)), linked)
+
+
+def test_embeddings_in_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "CELL", 30)
+    monkeypatch.setattr(embeddings, "FEW_VECTORS", 60)
+    x = unit_groups(np.random.default_rng(8))
+    x = np.concatenate([x, np.repeat(x[:1], 50, axis=0), x[1:30]])
+    rows = [(k // 2 if k > 320 else k, v.tolist()) for k, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.id, r.n_links, r.component_id) for r in embeddings.near_duplicates(frame).collect())
+    unit = embeddings.unit_rows(x)
+    near = unit @ unit.T >= 0.95
+    links = classes(range(len(x)), list(zip(*np.nonzero(near))))
+    least = {}
+    for k, root in links.items():
+        least[root] = min(least.get(root, rows[k][0]), rows[k][0])
+    assert got == sorted((rows[k][0], int(near[k].sum()) - 1, least[links[k]]) for k in range(len(x)))
+
+
+def test_embeddings_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "SAMPLE", 2000)
+    vectors = np.random.default_rng(9).normal(size=(20_000, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<float>")
+
+    def written():
+        store, none = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+        stages = store.stageList(None, False, False, none, None)
+        return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+    before = written()
+    assert embeddings.near_duplicates(frame).count() == len(vectors)
+    assert written() - before < 2 * vectors.nbytes
