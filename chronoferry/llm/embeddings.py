@@ -20,10 +20,10 @@ CELL = 2048
 SAMPLE = 32_768
 SAMPLE_BYTES = 16 << 20
 # Vectors of a block at most, and their bytes. Python compares two blocks at a time.
-BLOCK = 65_536
-BLOCK_BYTES = 16 << 20
+BLOCK = 32_768
+BLOCK_BYTES = 8 << 20
 # Blocks that are read together: a task meets those of two parts.
-PART_BLOCKS = 2
+PART_BLOCKS = 4
 # A table for few parts is dealt to so many, if they get so many vectors.
 FEW_PARTS = 8
 FEW_VECTORS = 8192
@@ -51,7 +51,12 @@ def narrow_rows(vectors: np.ndarray) -> np.ndarray:
     """The same in single precision, computed in parts."""
     out = np.empty(vectors.shape, np.float32)
     for at in range(0, len(vectors), 4096):
-        out[at : at + 4096] = unit_rows(vectors[at : at + 4096])
+        some = vectors[at : at + 4096]
+        if vectors.dtype == np.float32:  # squares don't leave the range of double precision
+            length = np.sqrt(np.einsum("ij,ij->i", some, some, dtype=np.float64))
+            np.divide(some, length[:, None], out=out[at : at + 4096], dtype=np.float64, casting="same_kind")
+        else:
+            out[at : at + 4096] = unit_rows(some)
     return out
 
 
